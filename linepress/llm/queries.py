@@ -22,8 +22,15 @@ def queries() -> dict[str, Query]:
     }
 
 
-#: The canonical key in DuckDB: lower then upper case, letters, marks and digits only.
-_KEY = r"upper(regexp_replace(lower(replace(coalesce({}, ''), 'ı', 'ꟷ')), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g'))"
+def _folded() -> str:
+    """The canonical key in DuckDB: letters, marks and digits only, lower then upper case; its upper() is a simple mapping, so letters whose capital is several are written out."""
+    x = "lower(replace(coalesce({}, ''), 'ı', 'ꟷ'))"
+    for a, b in {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ŉ": "ʼn"}.items():
+        x = f"replace({x}, '{a}', '{b}')"
+    return rf"upper(regexp_replace({x}, '[^\p{{{{L}}}}\p{{{{M}}}}\p{{{{N}}}}]+', '', 'g'))"
+
+
+_KEY = _folded()
 
 
 def oracle_sql() -> dict[str, str]:
