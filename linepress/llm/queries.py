@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linepress.llm import copies, encodings, lookalikes, mixing, personal, tokens
+from linepress.llm import copies, encodings, languages, lookalikes, mixing, personal, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": copies.found,
         "p1_distinct": copies.distinct_records,
+        "p2_found": languages.found,
+        "p2_languages": languages.identified,
         "p3_found": encodings.found,
         "p3_restored": encodings.restored,
         "p4_found": personal.found,
