@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linepress.llm import copies, encodings, languages, lookalikes, mixing, personal, tokens
+from linepress.llm import copies, encodings, languages, lookalikes, mixing, personal, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,9 @@ def queries() -> dict[str, Query]:
         "p6_ids": tokens.ids,
         "p7_mix": mixing.mixture,
         "p7_shares": mixing.shares,
+        "p8_found": residue.found,
+        "p8_labels": residue.labels,
+        "p8_kept": residue.kept,
     }
 
 
