@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_linepress_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), f"linepress-{uuid.uuid4().hex[:8]}.zip")  # stays: executors fetch it when they start
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("linepress", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._linepress_shipped = True
