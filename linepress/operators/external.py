@@ -20,28 +20,26 @@ def pipe_lines(lines: DataFrame, command: str, text: str = "text") -> DataFrame:
     at = lines.columns.index(text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = subprocess.Popen(command, shell=True, stdin=subprocess.PIPE, stdout=subprocess.PIPE, text=True, encoding="utf-8", errors="replace", bufsize=1 << 16)
+        p = subprocess.Popen(command, shell=True, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
         try:
             for b in batches:
-                texts = [(t or "").replace("\n", " ") for t in b.iloc[:, at]]
+                raw = "".join((t or "").replace("\n", " ") + "\n" for t in b.iloc[:, at]).encode("utf-8", "surrogatepass")
 
-                def feed(ts=texts) -> None:
+                def feed(data: bytes = raw) -> None:
                     try:
-                        p.stdin.write("".join(f"{t}\n" for t in ts))
+                        p.stdin.write(data)
                         p.stdin.flush()
                     except (BrokenPipeError, ValueError):
-                        pass
+                        pass  # the reader below reports it
 
                 feeder = threading.Thread(target=feed)
-                if p.poll() is not None:
-                    raise RuntimeError(f"the command ended early: {command}")
                 feeder.start()
                 out = []
-                for _ in texts:
+                for _ in range(len(b)):
                     line = p.stdout.readline()
                     if not line:
                         raise RuntimeError(f"the command ended early: {command}")
-                    out.append(line.rstrip("\n"))
+                    out.append(line.removesuffix(b"\n").decode("utf-8", "replace"))
                 feeder.join()
                 b = b.copy()
                 b.isetitem(at, out)

@@ -32,7 +32,11 @@ def stopword_lists(stopwords: DataFrame, max_words: int = 100_000) -> dict[str,
 def scores(text: Column | str, words: dict[str, list[str]]) -> Column:
     """array of (lang, hits), most hits first, ties by lang; languages without hits are left out."""
     tokens = F.regexp_extract_all(F.lower(col(text)), F.lit(r"(\p{L}+)"), 1)
-    each = F.array(*[F.struct(F.size(F.filter(tokens, lambda w, ws=ws: w.isin(ws))).alias("hits"), F.lit(lang).alias("lang")) for lang, ws in sorted(words.items())])
+
+    def hits(ws: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda w: w.isin(ws)))
+
+    each = F.array(*[F.struct(hits(ws).alias("hits"), F.lit(lang).alias("lang")) for lang, ws in sorted(words.items())])
     found = F.filter(each, lambda s: s["hits"] > 0)
     return F.transform(F.array_sort(F.transform(found, lambda s: F.struct((-s["hits"]).alias("h"), s["lang"].alias("lang")))), lambda s: F.struct(s["lang"].alias("lang"), (-s["h"]).alias("hits")))
 

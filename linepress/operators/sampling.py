@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from linepress.functions.text import draw, fix_broken_chars, language_tag, strip
 
-ALL = Window.partitionBy()
 METHODS = ("original", "uniform", "temperature", "sinkhorn")
 
 
-def normalise(df: DataFrame, column: str, over=ALL) -> DataFrame:
-    """column divided by its sum; 0 where the sum is 0."""
-    total = F.sum(column).over(over)
+def normalise(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
+    """column divided by its sum, or its sum within by; 0 where the sum is 0."""
+    total = F.sum(column).over(Window.partitionBy(*(by or [])))
     return df.withColumn(column, F.when(total > 0, F.col(column) / total).otherwise(F.lit(0.0)))
 
 
@@ -156,14 +155,14 @@ def resample_mono(lines: DataFrame, datasets: DataFrame, n: int, method: str = "
     """
     spark = lines.sparkSession
 
-    def probs(df: DataFrame, how: str, tt: float, over) -> DataFrame:
+    def probs(df: DataFrame, how: str, tt: float, by: list[str]) -> DataFrame:
         x = {"original": F.col("size").cast("double"), "uniform": F.lit(1.0), "temperature": F.pow(F.col("size").cast("double"), F.lit(1.0 / tt))}[how]
-        return normalise(df.withColumn("prob", F.when(F.col("size") > 0, x).otherwise(F.lit(0.0))), "prob", over)
+        return normalise(df.withColumn("prob", F.when(F.col("size") > 0, x).otherwise(F.lit(0.0))), "prob", by)
 
     sizes = lines.groupBy("ds").agg(F.count(F.lit(1)).alias("size"))
     ds = datasets.join(sizes, "ds")
-    langs = cumulative(probs(ds.groupBy("lang").agg(F.sum("size").alias("size")), method, t, ALL), ["lang"]).select("lang", "lo", "hi")
-    within = cumulative(probs(ds, dataset_method, dataset_t, Window.partitionBy("lang")), ["ds"], ["lang"]).select("lang", "ds", "size", F.col("lo").alias("dlo"), F.col("hi").alias("dhi"))
+    langs = cumulative(probs(ds.groupBy("lang").agg(F.sum("size").alias("size")), method, t, []), ["lang"]).select("lang", "lo", "hi")
+    within = cumulative(probs(ds, dataset_method, dataset_t, ["lang"]), ["ds"], ["lang"]).select("lang", "ds", "size", F.col("lo").alias("dlo"), F.col("hi").alias("dhi"))
     u = spark.range(1, n + 1).select(F.col("id").alias("draw_no"), draw(seed, F.lit("lang"), "id").alias("u"), draw(seed, F.lit("ds"), "id").alias("v"))
     d = u.join(F.broadcast(langs), (u["u"] >= langs["lo"]) & (u["u"] < langs["hi"])).select("draw_no", "lang", "v")
     w = F.broadcast(within)

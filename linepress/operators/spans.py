@@ -37,7 +37,7 @@ def query_span(text: Column, stopwords: Column, key: list[str], seed: str = "spa
     room = F.size(tokens) - n
 
     def at(i: Column) -> Column:
-        return F.slice(tokens, (F.floor(draw(seed, i, *key) * room) + 1).cast("int"), n)
+        return F.slice(tokens, F.greatest(F.floor(draw(seed, i, *key) * room) + 1, F.lit(1)).cast("int"), n)
 
     tries = F.transform(F.sequence(F.lit(1), F.greatest(room, F.lit(1))), lambda i: F.translate(F.array_join(at(i), " "), STRIPPED, ""))
     good = F.filter(tries, lambda s: ~F.array_contains(stopwords, F.lower(F.element_at(F.split(s, " "), -1))))
