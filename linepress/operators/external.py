@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import queue
+import signal
 import subprocess
 import threading
 from collections.abc import Callable, Iterator
@@ -14,41 +17,51 @@ from pyspark.sql import functions as F
 def pipe_lines(lines: DataFrame, command: str, text: str = "text") -> DataFrame:
     """lines with text replaced by what the shell command writes for it: one line in, one line out, one process per task.
 
-    A thread feeds the process while its output is read, so neither side waits for a full buffer. Null counts as an empty
-    line; newlines inside a text are written as spaces. A command that ends early, fails or writes more is an error.
+    A thread feeds the whole task's lines to the process while its output is read, so commands that write in blocks work
+    too; the pipes' own limits hold the feeder back. Null counts as an empty line; newlines inside a text are written as
+    spaces. A command that ends early, fails or writes more is an error.
     """
     at = lines.columns.index(text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = subprocess.Popen(command, shell=True, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+        p = subprocess.Popen(command, shell=True, stdin=subprocess.PIPE, stdout=subprocess.PIPE, start_new_session=True)
+        waiting: queue.SimpleQueue = queue.SimpleQueue()
+
+        def feed() -> None:
+            try:
+                for b in batches:
+                    raw = "".join((t or "").replace("\n", " ") + "\n" for t in b.iloc[:, at]).encode("utf-8", "surrogatepass")
+                    waiting.put(b)
+                    p.stdin.write(raw)
+                p.stdin.close()
+            except (BrokenPipeError, ValueError):
+                pass  # the reader reports that the command has ended
+            except BaseException as e:  # noqa: BLE001 - raised again by the reader
+                waiting.put(e)
+            finally:
+                waiting.put(None)
+
+        threading.Thread(target=feed, daemon=True).start()
         try:
-            for b in batches:
-                raw = "".join((t or "").replace("\n", " ") + "\n" for t in b.iloc[:, at]).encode("utf-8", "surrogatepass")
-
-                def feed(data: bytes = raw) -> None:
-                    try:
-                        p.stdin.write(data)
-                        p.stdin.flush()
-                    except (BrokenPipeError, ValueError):
-                        pass  # the reader below reports it
-
-                feeder = threading.Thread(target=feed)
-                feeder.start()
+            while (b := waiting.get()) is not None:
+                if isinstance(b, BaseException):
+                    raise b
                 out = []
                 for _ in range(len(b)):
                     line = p.stdout.readline()
                     if not line:
                         raise RuntimeError(f"the command ended early: {command}")
                     out.append(line.removesuffix(b"\n").decode("utf-8", "replace"))
-                feeder.join()
                 b = b.copy()
                 b.isetitem(at, out)
                 yield b
-            p.stdin.close()
             if p.stdout.readline() or p.wait(timeout=600):
                 raise RuntimeError(f"the command failed or wrote more lines than it read: {command}")
         finally:
-            p.kill()
+            try:
+                os.killpg(p.pid, signal.SIGKILL)
+            except ProcessLookupError:
+                pass
 
     return lines.mapInPandas(run, lines.schema)
 
