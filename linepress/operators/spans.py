@@ -25,25 +25,30 @@ def stopword_map(stopwords: DataFrame) -> Column:
     return F.create_map(*[x for lang, ws in by.items() for x in (F.lit(lang), F.array(*map(F.lit, ws)))])
 
 
-def query_span(text: Column, stopwords: Column, key: list[str], seed: str = "span", dropout: float = DROPOUT, ngrams: tuple[int, ...] = NGRAMS) -> Column:
-    """A span of text, '' where dropped or the text is too short; stopwords is null where the language has none.
+def with_query_span(df: DataFrame, text: str, stopwords: Column, key: list[str], out: str = "query", seed: str = "span", dropout: float = DROPOUT, ngrams: tuple[int, ...] = NGRAMS) -> DataFrame:
+    """df with a span of text in out, '' where dropped or the text is too short; stopwords is null where the language has none.
 
     With N more tokens than the span: up to N starts are drawn; the first whose span, without punctuation, doesn't end in
     a stop word is taken, else the last. A text as long as the span is taken whole. Without stop words the first start
-    is taken and punctuation stays.
+    is taken and punctuation stays. The steps are columns of their own, so that none is computed once per try.
     """
-    tokens = F.filter(F.split(strip(text), r"\s+"), lambda w: w != "")
     n = F.element_at(F.array(*map(F.lit, ngrams)), (F.floor(draw(seed, F.lit("n"), *key) * len(ngrams)) + 1).cast("int"))
-    room = F.size(tokens) - n
+    d = df.withColumn("__drop", draw(seed, F.lit("drop"), *key) < dropout).withColumn("__key", F.concat_ws(":", *key)).withColumn("__stop", stopwords).withColumn("__n", n)
+    d = d.withColumn("__tk", F.when(~F.col("__drop"), F.filter(F.split(strip(text), r"\s+"), lambda w: w != "")))
+    d = d.withColumn("__room", F.size("__tk") - F.col("__n"))
 
     def at(i: Column) -> Column:
-        return F.slice(tokens, F.greatest(F.floor(draw(seed, i, *key) * room) + 1, F.lit(1)).cast("int"), n)
+        return F.array_join(F.slice("__tk", F.greatest(F.floor(draw(seed, i, "__key") * F.col("__room")) + 1, F.lit(1)).cast("int"), F.col("__n")), " ")
 
-    tries = F.transform(F.sequence(F.lit(1), F.greatest(room, F.lit(1))), lambda i: F.translate(F.array_join(at(i), " "), STRIPPED, ""))
-    good = F.filter(tries, lambda s: ~F.array_contains(stopwords, F.lower(F.element_at(F.split(s, " "), -1))))
-    picked = F.coalesce(F.try_element_at(good, F.lit(1)), F.element_at(tries, -1))
-    span = F.when(room < 0, F.lit("")).when(room == 0, F.array_join(tokens, " ")).when(stopwords.isNull(), F.array_join(at(F.lit(1)), " ")).otherwise(picked)
-    return F.when(draw(seed, F.lit("drop"), *key) < dropout, F.lit("")).otherwise(F.coalesce(span, F.lit("")))
+    def attempt(a: Column, i: Column) -> Column:
+        span = F.translate(at(i), STRIPPED, "")
+        return F.when(a["ok"], a).otherwise(F.struct(span.alias("span"), (~F.array_contains("__stop", F.lower(F.element_at(F.split(span, " "), -1)))).alias("ok")))
+
+    start = F.struct(F.lit("").alias("span"), F.lit(False).alias("ok"))
+    tries = F.aggregate(F.sequence(F.lit(1), F.greatest("__room", F.lit(1))), start, attempt)
+    span = F.when(F.col("__room") < 0, F.lit("")).when(F.col("__room") == 0, F.array_join("__tk", " ")).when(F.col("__stop").isNull(), at(F.lit(1))).otherwise(tries["span"])
+    d = d.withColumn(out, F.when(F.col("__drop"), F.lit("")).otherwise(F.coalesce(span, F.lit(""))))
+    return d.drop("__drop", "__key", "__stop", "__n", "__tk", "__room")
 
 
 def paste_query(text: Column, query: Column, delimiter: str = DELIMITER) -> Column:

@@ -15,6 +15,7 @@ from linepress.functions import text as T
 from linepress.operators import align, catalog, dedupe, external, langid, repair, rules, sampling, shards, spans, stats, tags
 from linepress.plans import oracle
 from linepress.plans.pipeline import Commands, run
+from linepress.session import spread
 from linepress.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all datasets, a null side as '', with the language codes of their catalog row ('' where it has none)."""
     ds = table(spark, sf_dir, "datasets").select("ds", F.coalesce(T.code_of("src_lang"), F.lit("")).alias("src_lang"), F.coalesce(T.code_of("tgt_lang"), F.lit("")).alias("tgt_lang"))
-    b = table(spark, sf_dir, "bifixer").select("pair_id", "ds", "line_no", F.coalesce(S, F.lit("")).alias(S), F.coalesce(G, F.lit("")).alias(G))
+    b = spread(table(spark, sf_dir, "bifixer")).select("pair_id", "ds", "line_no", F.coalesce(S, F.lit("")).alias(S), F.coalesce(G, F.lit("")).alias(G))
     return b.join(F.broadcast(ds), "ds", "left").na.fill("", ["src_lang", "tgt_lang"])  # datasets has 120 rows at every size
 
 
 def doc_lines(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "doc_kind", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "doc_kind", "text"))
     if kind:
         d = d.filter(F.col("doc_kind") == kind)
     return external.split_documents(d)
@@ -239,7 +240,7 @@ def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pairs(spark, sf_dir)
     stop = spans.stopword_map(table(spark, sf_dir, "stopwords"))
-    return d.select("pair_id", spans.query_span(F.col(G), F.try_element_at(stop, F.col("tgt_lang")), ["pair_id"]).alias("query"))
+    return spans.with_query_span(d, G, F.try_element_at(stop, F.col("tgt_lang")), ["pair_id"]).select("pair_id", "query")
 
 
 def paste_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

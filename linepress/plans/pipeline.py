@@ -47,7 +47,7 @@ class Commands:
 
     def queries(self, d: DataFrame) -> DataFrame:
         words = F.create_map(*[x for k, v in self.stopwords.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]) if self.stopwords else F.expr("cast(map() as map<string, array<string>>)")
-        return d.withColumn("query", spans.query_span(F.col(TARGET), F.try_element_at(words, F.col("tgt_lang")), align.KEY, self.seed))
+        return spans.with_query_span(d, TARGET, F.try_element_at(words, F.col("tgt_lang")), align.KEY, seed=self.seed)
 
     def named(self, name: str) -> Step:
         if name not in ("charfix", "biclean", "dedup", "langcheck", "tagprotect", "queries"):

@@ -47,6 +47,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer parts than two for each core, dealt out to all cores; others as they are. For work that is heavy
+    per row on input that is one row group, of which only one part has rows; a large table isn't shuffled."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < 2 * n else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors, once per application, so that Python workers can import it."""
     sc = spark.sparkContext

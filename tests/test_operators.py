@@ -59,9 +59,9 @@ def test_protection_is_drawn_by_key_only(spark):
 def test_spans(spark):
     d = spark.createDataFrame([(1, "only"), (2, "a b"), (3, "the cat, sat on the mat."), (4, ""), (5, None)], "i INT, x STRING")
     stop = F.array(F.lit("the"), F.lit("on"))
-    got = {r.i: r.q for r in d.select("i", spans.query_span(F.col("x"), stop, ["i"], dropout=0.0).alias("q")).collect()}
+    got = {r.i: r.q for r in spans.with_query_span(d, "x", stop, ["i"], "q", dropout=0.0).collect()}
     assert got[4] == got[5] == "" and all(w in "the cat sat on the mat a b only" for w in got[3].split())
-    assert set(r.q for r in d.select(spans.query_span(F.col("x"), stop, ["i"], dropout=1.0).alias("q")).collect()) == {""}
+    assert set(r.q for r in spans.with_query_span(d, "x", stop, ["i"], "q", dropout=1.0).collect()) == {""}
     assert d.limit(1).select(spans.paste_query(F.lit(" s "), F.lit(" q "))).first()[0] == "s ||| q"
 
 
