@@ -48,10 +48,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer parts than two for each core, dealt out to all cores; others as they are. For work that is heavy
-    per row on input that is one row group, of which only one part has rows; a large table isn't shuffled."""
+    """A scan of fewer parts than there are cores, dealt out to all of them; others as they are. For work that is heavy
+    per row on input of a few files; a large table has parts enough and isn't shuffled."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < 2 * n else df
+    return df.repartition(n) if df._jdf.rdd().getNumPartitions() < n else df
 
 
 def ship_package(spark: SparkSession) -> None:
