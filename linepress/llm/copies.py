@@ -20,6 +20,8 @@ from linepress.session import fresh_path, materialise
 #: The dotless i has no case partner of its own in upper case; this caseless letter stands for it.
 DOTLESS_I, DOTLESS_I_STANDS_FOR = "ı", "ꟷ"
 SEPARATOR = "\u0001"
+#: Records for each bucket of a ledger, where its user names no number of buckets.
+ROWS_PER_BUCKET = 2_000_000
 
 
 def letters_only(text: Column) -> Column:
@@ -150,16 +152,16 @@ def copy_links(keyed: DataFrame, ledger: DataFrame, row_id: str = "pair_id", key
     return j.filter(F.col(row_id) != F.col("first_id")).select("first_id", row_id)
 
 
-def collapse_copies(spark: SparkSession, pairs: DataFrame, source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id", n_batches: int = 3, n_buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+def collapse_copies(spark: SparkSession, pairs: DataFrame, source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id", n_batches: int = 3, n_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(keyed records, ledger) of a table, fed to a new ledger in n_batches of ascending row_id, as it would arrive.
 
-    Null sides count as empty; records with no letter or digit are in no group; an empty table gives an empty ledger.
+    n_buckets: by default one for each two million records, 16 at least. Null sides count as empty; records with no letter or digit are in no group; an empty table gives an empty ledger.
     Extra columns are ignored.
     """
     base = pairs.select(F.col(row_id).alias("pair_id"), F.col(source).alias("__s"), F.col(target).alias("__t"))
     keyed = materialise(with_pair_key(base, "__s", "__t").select("pair_id", "copy_key").filter("copy_key IS NOT NULL"), "copy-keys")
-    lo, hi = keyed.agg(F.min("pair_id"), F.max("pair_id")).first()
-    ledger = CopyLedger(spark, fresh_path(spark, "ledger"), n_buckets)
+    lo, hi, n = keyed.agg(F.min("pair_id"), F.max("pair_id"), F.count(F.lit(1))).first()
+    ledger = CopyLedger(spark, fresh_path(spark, "ledger"), n_buckets or max(16, -(-n // ROWS_PER_BUCKET)))
     if lo is not None:
         edges = [lo + (hi - lo + 1) * i // n_batches for i in range(n_batches + 1)]
         for i in range(n_batches):
