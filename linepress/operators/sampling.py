@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linepress.functions.text import draw, fix_broken_chars, language_tag, strip
+from linepress.operators.stats import row_numbers
+from linepress.session import broadcast_if_small, is_small, materialise
 
 METHODS = ("original", "uniform", "temperature", "sinkhorn")
 
@@ -39,7 +41,7 @@ def language_sizes(datasets: DataFrame) -> DataFrame:
 def temperature(datasets: DataFrame, t: float = 5.0) -> DataFrame:
     """prob of a dataset is that of its target language: size ** (1/t) over all languages, not yet normalised over datasets."""
     q = normalise(language_sizes(datasets).withColumn("prob", F.pow(F.col("size").cast("double"), F.lit(1.0 / t))), "prob").select("lang", "prob")
-    return datasets.join(F.broadcast(q), datasets["tgt_lang"] == q["lang"], "left").drop("lang").withColumn("prob", F.coalesce("prob", F.lit(0.0)))
+    return datasets.join(broadcast_if_small(q), datasets["tgt_lang"] == q["lang"], "left").drop("lang").withColumn("prob", F.coalesce("prob", F.lit(0.0)))
 
 
 def sinkhorn_matrix(a: np.ndarray, epsilon: float = 1e-9, max_iter: int = 1000) -> np.ndarray:
@@ -115,11 +117,24 @@ def cursor(k: Column, length: Column, compat: str | None = None) -> Column:
     return F.pmod(k - 1, length) + 1
 
 
+def pick(points: DataFrame, u: str, intervals: DataFrame, key: str | None = None, max_rows: int = 10_000, buckets: int = 4096) -> DataFrame:
+    """points joined with the interval [lo, hi) that holds u (of the same key): small intervals are broadcast, many are joined
+    by buckets of the unit interval."""
+    same = [key] if key else []
+    if is_small(intervals, max_rows):
+        i = F.broadcast(intervals)
+        on = (points[u] >= i["lo"]) & (points[u] < i["hi"])
+        return points.join(i, (points[key] == i[key]) & on if key else on).drop(i[key] if key else i["lo"]).drop("lo", "hi")
+    p = points.withColumn("__bucket", F.floor(F.col(u) * buckets))
+    i = intervals.withColumn("__bucket", F.explode(F.sequence(F.floor(F.col("lo") * buckets), F.floor(F.least(F.col("hi"), F.lit(1.0)) * buckets))))
+    return p.join(i, [*same, "__bucket"]).filter((F.col(u) >= F.col("lo")) & (F.col(u) < F.col("hi"))).drop("__bucket", "lo", "hi")
+
+
 def draws(spark: SparkSession, dist: DataFrame, n: int, seed: str) -> DataFrame:
-    """draw_no, ds for n draws with replacement; dist is the small table of one row per dataset."""
+    """draw_no, ds for n draws with replacement; dist has one row per dataset."""
     u = spark.range(1, n + 1).select(F.col("id").alias("draw_no"), draw(seed, "id").alias("u"))
     c = cumulative(dist, ["ds"]).select("ds", "lo", "hi")
-    return u.join(F.broadcast(c), (u["u"] >= c["lo"]) & (u["u"] < c["hi"])).select("draw_no", "ds")
+    return pick(u, "u", c).select("draw_no", "ds")
 
 
 def resample_parallel(pairs: DataFrame, datasets: DataFrame, n: int, method: str = "temperature", t: float = 5.0, add_tag: bool = False, seed: str = "resample", compat: str | None = None) -> DataFrame:
@@ -138,10 +153,11 @@ def resample_parallel(pairs: DataFrame, datasets: DataFrame, n: int, method: str
 
 
 def _take(spark: SparkSession, clean: DataFrame, dist: DataFrame, n: int, seed: str, compat: str | None, add_tag: bool) -> DataFrame:
-    info = dist.select("ds", "size", "tgt_lang")
-    d = draws(spark, dist, n, seed).withColumn("k", F.row_number().over(Window.partitionBy("ds").orderBy("draw_no")))
-    d = d.join(F.broadcast(info), "ds").withColumn("ordinal", cursor(F.col("k"), F.col("size"), compat))
-    lines = clean.withColumn("ordinal", F.row_number().over(Window.partitionBy("ds").orderBy("line_no")))
+    dist = materialise(dist, "distribution")
+    info = broadcast_if_small(dist.select("ds", "size", "tgt_lang"))
+    d = row_numbers(draws(spark, dist, n, seed), "ds", "draw_no", "k")
+    d = d.join(info, "ds").withColumn("ordinal", cursor(F.col("k"), F.col("size"), compat))
+    lines = row_numbers(clean, "ds", "line_no", "ordinal")
     out = d.join(lines, ["ds", "ordinal"])
     if add_tag:
         out = out.withColumn("source_segment", language_tag("source_segment", F.col("tgt_lang")))
@@ -162,13 +178,12 @@ def resample_mono(lines: DataFrame, datasets: DataFrame, n: int, method: str = "
     sizes = lines.groupBy("ds").agg(F.count(F.lit(1)).alias("size"))
     ds = datasets.join(sizes, "ds")
     langs = cumulative(probs(ds.groupBy("lang").agg(F.sum("size").alias("size")), method, t, []), ["lang"]).select("lang", "lo", "hi")
-    within = cumulative(probs(ds, dataset_method, dataset_t, ["lang"]), ["ds"], ["lang"]).select("lang", "ds", "size", F.col("lo").alias("dlo"), F.col("hi").alias("dhi"))
+    within = cumulative(probs(ds, dataset_method, dataset_t, ["lang"]), ["ds"], ["lang"]).select("lang", "ds", "size", "lo", "hi")
     u = spark.range(1, n + 1).select(F.col("id").alias("draw_no"), draw(seed, F.lit("lang"), "id").alias("u"), draw(seed, F.lit("ds"), "id").alias("v"))
-    d = u.join(F.broadcast(langs), (u["u"] >= langs["lo"]) & (u["u"] < langs["hi"])).select("draw_no", "lang", "v")
-    w = F.broadcast(within)
-    d = d.join(w, (d["lang"] == within["lang"]) & (d["v"] >= within["dlo"]) & (d["v"] < within["dhi"])).select("draw_no", d["lang"], "ds", "size")
-    d = d.withColumn("ordinal", cursor(F.row_number().over(Window.partitionBy("ds").orderBy("draw_no")), F.col("size"), compat))
-    numbered = lines.withColumn("ordinal", F.row_number().over(Window.partitionBy("ds").orderBy("line_no")))
+    d = pick(u, "u", langs).select("draw_no", "lang", "v")
+    d = pick(d, "v", within, "lang").select("draw_no", "lang", "ds", "size")
+    d = row_numbers(d, "ds", "draw_no", "k").withColumn("ordinal", cursor(F.col("k"), F.col("size"), compat))
+    numbered = row_numbers(lines, "ds", "line_no", "ordinal")
     return d.join(numbered, ["ds", "ordinal"]).select("draw_no", "lang", "ds", "line_no", "text")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linepress.operators.stats import row_numbers
+
 
 def shard_of(i: Column, length: Column, n_shards: Column) -> Column:
     """1-based shard of the line with 0-based number i: contiguous blocks of length div n_shards, the rest dealt out from shard 1."""
@@ -20,13 +22,12 @@ def shard_count(length: Column, n_lines: Column, max_shards: int) -> Column:
 def assign_shards(lines: DataFrame, min_shards: int = 1, max_shards: int = 10, key: str = "ds", order: str = "line_no") -> DataFrame:
     """lines with n_shards and shard. The smallest dataset gets min_shards; the others as many as their size allows, up to max_shards.
 
-    Lines are numbered by a window per dataset only because line numbers may have gaps.
+    Lines are numbered because line numbers may have gaps.
     """
     sizes = lines.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.withColumn("__lines", F.greatest(F.floor(F.min("__n").over(Window.partitionBy()) / min_shards), F.lit(1)))
     sizes = sizes.withColumn("n_shards", shard_count(F.col("__n"), F.col("__lines"), max_shards)).drop("__lines")
-    i = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
-    d = lines.withColumn("__i", i).join(F.broadcast(sizes), key)
+    d = row_numbers(lines, key, order, "__i").withColumn("__i", F.col("__i") - 1).join(sizes, key)
     return d.withColumn("shard", shard_of(F.col("__i"), F.col("__n"), F.col("n_shards"))).drop("__i", "__n")
 
 

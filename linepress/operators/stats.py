@@ -10,6 +10,19 @@ def line_counts(lines: DataFrame, key: str = "ds") -> DataFrame:
     return lines.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def row_numbers(df: DataFrame, key: str, order: str, out: str = "row_no", chunk: int = 100_000) -> DataFrame:
+    """df with each row's number (from 1) within its key by the integer column order.
+
+    Two levels: rows of a key are counted by chunks of order, counts are summed up, and only rows of one chunk are sorted
+    in one task, so a key that holds a third of all rows is spread over many. Rows of equal order are numbered in any order.
+    """
+    d = df.withColumn("__chunk", F.floor(F.col(order) / chunk))
+    n = d.groupBy(key, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    n = n.select(key, "__chunk", (F.sum("__n").over(Window.partitionBy(key).orderBy("__chunk")) - F.col("__n")).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(key, "__chunk").orderBy(order))
+    return d.join(n, [key, "__chunk"]).withColumn(out, F.col("__before") + own).drop("__chunk", "__before")
+
+
 def size_matrix(sizes: DataFrame) -> DataFrame:
     """src_lang, tgt_lang, n in long form, of rows (src_lang, tgt_lang, size)."""
     return sizes.groupBy("src_lang", "tgt_lang").agg(F.sum("size").alias("n"))

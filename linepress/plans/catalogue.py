@@ -15,7 +15,7 @@ from linepress.functions import text as T
 from linepress.operators import align, catalog, dedupe, external, langid, repair, rules, sampling, shards, spans, stats, tags
 from linepress.plans import oracle
 from linepress.plans.pipeline import Commands, run
-from linepress.session import spread
+from linepress.session import broadcast_if_small, spread
 from linepress.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all datasets, a null side as '', with the language codes of their catalog row ('' where it has none)."""
     ds = table(spark, sf_dir, "datasets").select("ds", F.coalesce(T.code_of("src_lang"), F.lit("")).alias("src_lang"), F.coalesce(T.code_of("tgt_lang"), F.lit("")).alias("tgt_lang"))
     b = spread(table(spark, sf_dir, "bifixer")).select("pair_id", "ds", "line_no", F.coalesce(S, F.lit("")).alias(S), F.coalesce(G, F.lit("")).alias(G))
-    return b.join(F.broadcast(ds), "ds", "left").na.fill("", ["src_lang", "tgt_lang"])  # datasets has 120 rows at every size
+    return b.join(broadcast_if_small(ds), "ds", "left").na.fill("", ["src_lang", "tgt_lang"])
 
 
 def doc_lines(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
@@ -174,7 +174,7 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = table(spark, sf_dir, "datasets").select("ds", "src_lang", "tgt_lang")
-    u = table(spark, sf_dir, "tmx_units").join(F.broadcast(ds), "ds")
+    u = table(spark, sf_dir, "tmx_units").join(broadcast_if_small(ds), "ds")
     return readers.extract_units(u, F.col("src_lang"), F.col("tgt_lang")).select("tu_id", S, G)
 
 
@@ -304,9 +304,7 @@ def line_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multimeta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which languages have each line of a set of files, one per language: the documents of a language as its lines."""
-    from pyspark.sql import Window
-
-    d = table(spark, sf_dir, "documents").filter("lang IS NOT NULL").select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")).alias("line_no"))
+    d = stats.row_numbers(table(spark, sf_dir, "documents").filter("lang IS NOT NULL").select("lang", "text", "doc_id"), "lang", "doc_id", "line_no")
     return stats.lines_by_language(d.withColumn("text", F.coalesce("text", F.lit("")))).select("line_no", F.array_join("langs", ",").alias("langs"))
 
 

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "linepress", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -47,6 +48,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """Whether df has at most max_rows rows; reads no more than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """df with a hint to broadcast it if it is small; else Spark chooses a join by itself."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of fewer parts than there are cores, dealt out to all of them; others as they are. For work that is heavy
     per row on input of a few files; a large table has parts enough and isn't shuffled."""

@@ -21,7 +21,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     sizes = d.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     sizes = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).drop("n")
     # rows of one block have consecutive positions, as a split is read by one task in order
-    return d.join(F.broadcast(sizes), ["file", "block"]).select("file", (F.col("before") + F.col("pos") - F.col("first") + 1).alias("line_no"), "text")
+    return d.join(sizes, ["file", "block"]).select("file", (F.col("before") + F.col("pos") - F.col("first") + 1).alias("line_no"), "text")
 
 
 def read_parallel(spark: SparkSession, source: str, target: str) -> DataFrame:

@@ -111,6 +111,14 @@ def test_sinkhorn_is_doubly_stochastic():
     assert np.allclose(m.sum(0), 1) and np.allclose(m.sum(1), 1)
 
 
+def test_pick_by_buckets_and_by_broadcast_agree(spark):
+    u = spark.range(500).select("id", (F.col("id") / 500).alias("u"), (F.col("id") % 2).alias("k"))
+    c = spark.createDataFrame([(0, 0.0, 0.3, "a"), (0, 0.3, 2.0, "b"), (1, 0.0, 0.00001, "c"), (1, 0.00001, 2.0, "d")], "k LONG, lo DOUBLE, hi DOUBLE, ds STRING")
+    assert rows(sampling.pick(u, "u", c, "k"), "id", "ds") == rows(sampling.pick(u, "u", c, "k", max_rows=0), "id", "ds")
+    one = c.filter("k = 0").drop("k")
+    assert rows(sampling.pick(u, "u", one), "id", "ds") == rows(sampling.pick(u, "u", one, max_rows=0), "id", "ds")
+
+
 def test_cursor_formulas(spark):
     d = spark.range(1, 9).select("id", sampling.cursor(F.col("id"), F.lit(3)).alias("x"), sampling.cursor(F.col("id"), F.lit(3), "parallel").alias("p"), sampling.cursor(F.col("id"), F.lit(3), "mono").alias("m"))
     got = d.orderBy("id").collect()
