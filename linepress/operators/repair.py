@@ -100,7 +100,9 @@ def _mojibake(word: str) -> str:
 
 def _restore(lang: str):
     table = char_map(lang)
-    pattern = re.compile("|".join(map(re.escape, sorted(table, key=len, reverse=True))))
+    firsts = "".join(sorted({k[0] for k in table}))
+    # the class ahead spares trying every key at every character
+    pattern = re.compile(f"(?=[{re.escape(firsts)}])(?:" + "|".join(map(re.escape, sorted(table, key=len, reverse=True))) + ")")
 
     @F.pandas_udf("string")
     def f(text: pd.Series) -> pd.Series:
@@ -112,7 +114,7 @@ def _restore(lang: str):
 
         return text.map(one)
 
-    return f
+    return f.asNondeterministic()  # keeps the optimiser from running it once for each use of its result
 
 
 def restore_text(text: Column | str, lang: str) -> Column:
