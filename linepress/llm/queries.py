@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +43,24 @@ def _folded() -> str:
 _KEY = _folded()
 
 
+def _look(x: str) -> str:
+    """Look-alikes mapped and accents composed, in DuckDB: equal where the collation finds equal."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    x = f"coalesce({x}, '')"
+    for c in lookalikes.LIGATURES:
+        x = f"replace({x}, '{c}', {quoted(unicodedata.normalize('NFKC', c))})"
+    source, target = lookalikes.mapping()
+    nul = source.index("\0")
+    source, target = source[:nul] + source[nul + 1 :], target[:nul] + target[nul + 1 :]
+    return f"nfc_normalize(translate({x}, {quoted(source)}, {quoted(target)}))"
+
+
 def oracle_sql() -> dict[str, str]:
     keyed = f"SELECT pair_id, {_KEY.format('source_segment')} a, {_KEY.format('target_segment')} b FROM bifixer"
     grouped = f"SELECT pair_id, min(pair_id) OVER (PARTITION BY least(a, b), greatest(a, b)) f, count(*) OVER (PARTITION BY least(a, b), greatest(a, b)) n FROM ({keyed}) WHERE regexp_matches(a || b, '[\\p{{L}}\\p{{N}}]')"
+    looks = f"SELECT pair_id, coalesce(source_segment, '') s, coalesce(target_segment, '') t, {_look('source_segment')} a, {_look('target_segment')} b FROM bifixer"
     return {
+        "p5_found": f"WITH x AS ({looks}) SELECT l.pair_id pair_id_a, r.pair_id pair_id_b FROM x l JOIN x r ON l.a = r.a AND l.b = r.b AND l.pair_id < r.pair_id AND (l.s <> r.s OR l.t <> r.t)",
         "p1_found": f"SELECT f AS first_pair_id, pair_id AS copy_pair_id FROM ({grouped}) WHERE pair_id <> f",
         "p1_distinct": f"SELECT f AS first_pair_id, n AS n_copies FROM ({grouped}) WHERE pair_id = f",
     }
