@@ -20,7 +20,7 @@ from linepress.functions.text import ALPHA, LOWER, PUNCT, UPPER, alpha_share, ca
 # -- fixed values ------------------------------------------------------------------------------------------------------
 MAX_CHARS, MIN_BLANKS, MAX_RATIO = 1024, 2, 2.0
 MIN_ALPHA, MAX_URL_CHARS, MAX_BREADCRUMBS, MAX_ARROWS, MAX_PARENTHESES, MAX_UNWANTED = 0.5, 15, 3, 2, 10, 5
-BLANK, BREADCRUMBS, ARROWS = "[  ]", r"( [-/] |[<>*]| : )", "( » |[|→←•·¬])"
+BLANK, BREADCRUMBS, ARROWS = "[ \u00a0]", r"( [-/] |[<>*]| : )", "( » |[|→←•·¬])"
 NOISE, SPACED, PARENTHESES, UNWANTED = "[\u0080-ÿ]{3,}", "(?d)( .){4,} ", r"[\[\](){}]", r"[+*]"
 ESCAPED, GLUED = r"\\u[0-9a-fA-F]{3,}", f"({ALPHA}*{UPPER}{LOWER}+){{3}}"
 REPLY, PLACEHOLDERS = ["Re:"], ["{{", "%s", "}}"]

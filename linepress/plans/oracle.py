@@ -57,12 +57,13 @@ def rule_list(minimal_length: bool = True) -> list[tuple[str, str]]:
     ratio = lambda f: f"({f}(s)::DOUBLE / nullif({f}(g), 0) BETWEEN 0.5 AND 2)"
     langs = ", ".join(f"'{x}'" for x in rules.SAFE_NOISE_LANGS)
     without = lambda p: fold(f"regexp_replace(s, {q(p)}, '', 'g')") + " = " + fold(f"regexp_replace(g, {q(p)}, '', 'g')")
+    blank = r"[ \x{a0}]"
     literal = lambda x, ws: "(" + " OR ".join(f"contains({x}, {q(w)})" for w in ws) + ")"
     url = r"((?:https?://|www\d{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}/)(?:[^\s()<>]|\((:?[^\s()<>]+|(\([^\s()<>]+\)))*\))+(?:\(([^\s()<>]+|(\([^\s()<>]+\)))*\)|[^\s`!()\[\]{};:'" + r'".,<>?«»“”‘’]))'
     out = [("len(left) >= 1024", "length(s) >= 1024"), ("len(right) >= 1024", "length(g) >= 1024")]
     out += [("c_no_literals(['Re:'], left)", literal("s", ["Re:"])), ("c_no_literals(['Re:'], right)", literal("g", ["Re:"]))]
     if minimal_length:
-        out.append(("c_minimal_length(left) and c_minimal_length(right)", f"{count('s', '[  ]')} < 2 AND {count('g', '[  ]')} < 2"))
+        out.append(("c_minimal_length(left) and c_minimal_length(right)", f"{count('s', blank)} < 2 AND {count('g', blank)} < 2"))
     out += [
         ("c_length or c_length_bytes", f"NOT ({ratio('length')} OR {ratio('strlen')})"),
         ("c_identical", f"{fold('s')} = {fold('g')}"),
