@@ -35,7 +35,7 @@ LIGATURES = "ﬀﬁﬂﬃﬄﬅﬆĲĳǇǈǉǊǋǌ…‥№™℠₨℡℃℉Ǳ
 def mapping() -> tuple[str, str]:
     """The arguments of translate: from, to. Characters without a partner in to are deleted.
 
-    By rule: every compatibility character whose NFKC form is one character maps to that; blanks other than tab and line
+    By rule: every character whose NFKC form is one other character maps to that; blanks other than tab and line
     ends map to the space; format characters go. Control characters, which the collation would ignore, become private ones.
     """
     one, gone = {}, []
@@ -50,7 +50,7 @@ def mapping() -> tuple[str, str]:
             one[c] = " "
         elif cat == "Cc":
             one[c] = chr(0xE000 + cp)
-        elif unicodedata.decomposition(c).startswith("<") and len(n := unicodedata.normalize("NFKC", c)) == 1:
+        elif len(n := unicodedata.normalize("NFKC", c)) == 1 and n != c:
             one[c] = n
     for cp in range(0x20):
         if cp not in (9, 10, 13):
@@ -69,7 +69,7 @@ def mapping() -> tuple[str, str]:
 def bases() -> tuple[str, str]:
     """The arguments of a translate that takes the accents off composed letters."""
     out = {}
-    for cp in range(0xC0, 0x2000):
+    for cp in range(0xC0, 0x3000):
         d = unicodedata.normalize("NFD", chr(cp))
         if len(d) > 1 and all(unicodedata.combining(x) for x in d[1:]):
             out[chr(cp)] = d[0]

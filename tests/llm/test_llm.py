@@ -207,7 +207,7 @@ def test_surrogates_stay_distinct(spark):
 # -- 5 look-alikes -----------------------------------------------------------------------------------------------------
 ALIKE = [
     (1, "café one", "x"), (2, "café one", "x"), (3, "caf​é one", "x"), (4, "ｃａｆé one", "x"), (5, "сafé one", "x"), (6, "cafe one", "x"), (7, "Café one", "x"), (8, "café  one", "x"),
-    (9, "café one", "x"), (10, None, ""), (11, "", None), (12, "​", ""), (13, "ﬁn", "…"), (14, "fin", "..."), (15, "l0", "I"), (16, "lO", "l"), (17, "a\tb", "q"), (18, "a b", "q"),
+    (9, "café one", "x"), (10, None, ""), (11, "", None), (12, "​", ""), (13, "ﬁn", "…"), (14, "fin", "..."), (15, "l0", "I"), (16, "lO", "l"), (17, "a\tb", "q"), (18, "a b", "q"), (19, "Årsrapport", "Å"), (20, "A\u030arsrapport", "\u212b"),
 ]
 
 
