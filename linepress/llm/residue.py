@@ -1,12 +1,13 @@
 """Template residue, filler, error pages and script notices in place of content (problem 8).
 
 Documents are cut into units (sentences of lines; lines `key = text` of interface strings are left out). Rules give units a
-trusted label where the wording leaves no doubt. Every unit gets a SimHash of its words, digits and punctuation aside.
-Labels are then propagated through the components of near-duplicates: the labelled units probe six tables, each
-partitioned by two of the four 16-bit blocks of the SimHash; a hit is verified by Hamming distance and by the similarity
-of word five-shingles, gets the label and probes in turn, until nothing new is found. Only components with a trusted label
-matter, so unlabelled units need not be compared with each other. A unit with an open placeholder is labelled for itself
-only: its near-duplicates are the same sentences with the value filled in.
+trusted label where the wording leaves no doubt. Every unit gets the hashes of its word five-shingles, digits and
+punctuation aside, and of these a prefix in order of the hashes, so long that two units as similar as MIN_SIMILARITY have a
+hash of their prefixes in common. Labels are then propagated through the components of near-duplicates: the labelled units
+are joined by these hashes with the others; a hit is verified by the similarity of the shingles themselves, gets the label
+and probes in turn, until nothing new is found. No pair is missed. Only components with a trusted label matter, so
+unlabelled units need not be compared with each other. A unit with an open placeholder is labelled for itself only: its
+near-duplicates are the same sentences with the value filled in.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ from linepress.session import materialise, spread
 #: Mark of units without common words: filler if their words are those of filler elsewhere in the corpus.
 BARE = "bare"
 LABELS = ("error", "filler", "placeholder", "script")
-#: Similarity of word five-shingles, and Hamming distance, up to which two units are near-duplicates.
-MIN_SIMILARITY, MAX_HAMMING = 0.8, 6
+#: Similarity of word five-shingles from which two units are near-duplicates.
+SHINGLE, MIN_SIMILARITY = 5, 0.8
 #: Bits of the filter of probed keys that workers get: 2 MB at any size of the corpus; it only spares shuffling.
 FILTER_BITS = 1 << 24
-#: Pairs of 16-bit blocks that make the keys of the six tables.
+#: Odd factors of the words of a shingle in its hash, by place, and of the final mixing.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+#: Pairs of 16-bit blocks that make the keys of table_keys.
 TABLES = [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -99,33 +102,43 @@ class Labeller:
         #: a unit without any of these can match no wording: every phrase has a word that isn't common
         phrases = " ".join(p.pattern for p in (_FILLER, _ERROR, _SCRIPT)).lower()
         self.hints = frozenset(w for w in _WORD.findall(re.sub(r"\\\w|\?:", " ", phrases)) if len(w) > 2) - self.known - _EVERYDAY
-        self.rows: dict[str, int] = {}
-        self.signs = np.zeros((1024, 64), np.int8)
+        self.hashes: dict[str, int] = {}
 
-    def _simhash(self, units: list[list[str]]) -> np.ndarray:
-        """64 bits of each unit: the signs of the sums over its words' hashed bits."""
+    def _prefixes(self, units: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Of each unit the hashes that near-duplicates share one of at least, and its number of shingles.
+
+        Two sets of m and n elements with a similarity of t or more have t * m and t * n in common at least; in any order that
+        holds for all, the first m - ceil(t * m) + 1 of the one then meet the like prefix of the other. A unit of fewer words
+        than a shingle resembles only itself and has no hash.
+        """
         import xxhash
 
+        lens = np.fromiter(map(len, units), np.int64, len(units))
+        if lens.sum() < SHINGLE:
+            return [np.zeros(0, np.int64)] * len(units), np.zeros(len(units), np.int64)
         flat = [w for u in units for w in u]
-        if not flat:
-            return np.zeros(len(units), np.int64)
-        new = set(flat).difference(self.rows)
-        if len(self.rows) + len(new) > 300_000:
-            self.rows.clear()
+        new = set(flat).difference(self.hashes)
+        if len(self.hashes) + len(new) > 300_000:
+            self.hashes.clear()
             new = set(flat)
-        if len(self.rows) + len(new) > len(self.signs):
-            self.signs = np.resize(self.signs, (2 * (len(self.rows) + len(new)), 64))
-        if new:
-            at, ws = len(self.rows), list(new)
-            h = np.fromiter((xxhash.xxh64_intdigest(w) for w in ws), np.uint64, len(ws))
-            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-            self.signs[at : at + len(ws)] = bits.astype(np.int8) * 2 - 1
-            self.rows.update(zip(ws, range(at, at + len(ws))))
-        idx = np.fromiter(map(self.rows.__getitem__, flat), np.int64, len(flat))
-        lens = np.fromiter(map(len, units), np.int64, len(units))
-        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        sums = np.add.reduceat(self.signs[idx], starts, axis=0, dtype=np.int32)
-        return np.packbits(sums > 0, axis=1).view(np.int64).reshape(-1)
+        self.hashes.update((w, xxhash.xxh64_intdigest(w)) for w in new)
+        h = np.fromiter(map(self.hashes.__getitem__, flat), np.uint64, len(flat))
+        n = len(h) - SHINGLE + 1
+        x = sum(h[j : j + n] * _FACTORS[j] for j in range(SHINGLE))
+        x = (x ^ (x >> np.uint64(32))) * _FACTORS[0]
+        owner = np.repeat(np.arange(len(units)), lens)
+        whole = owner[:n] == owner[SHINGLE - 1 :]
+        x, owner = x[whole], owner[:n][whole]
+        order = np.lexsort((x, owner))
+        x, owner = x[order], owner[order]
+        once = np.ones(len(x), bool)
+        once[1:] = (x[1:] != x[:-1]) | (owner[1:] != owner[:-1])
+        x, owner = x[once], owner[once]
+        sizes = np.bincount(owner, minlength=len(units))
+        place = np.arange(len(x)) - (np.cumsum(sizes) - sizes)[owner]
+        first = place < (sizes - np.ceil(MIN_SIMILARITY * sizes - 1e-9).astype(np.int64) + 1)[owner]
+        ends = np.cumsum(np.bincount(owner[first], minlength=len(units)))
+        return np.split(x[first].view(np.int64), ends[:-1]), sizes
 
     def label(self, unit: str, words: list[str], slots: bool) -> str | None:
         if slots and _SLOT_HINT.search(unit) and (m := _SLOT.search(_TAG.sub(" ", unit) if "<" in unit else unit)) and not _ABOUT_SLOTS.search(unit):
@@ -163,15 +176,16 @@ class Labeller:
                 ws = _WORD.findall(_TAG.sub(" ", u).lower() if "<" in u else u.lower())
                 if ws or len(u) > 3:
                     out_id.append(i)
-                    out_words.append(ws or ["."])
+                    out_words.append(ws)
                     out_label.append(self.label(u, ws, slots))
                     out_text.append(" ".join(ws))
         h = np.fromiter((xxhash.xxh64_intdigest(t) for t in out_text), np.uint64, len(out_text)).view(np.int64)
-        return pd.DataFrame({"row_id": out_id, "unit": h, "simhash": self._simhash(out_words), "label": out_label, "words": out_text})
+        keys, sizes = self._prefixes(out_words)
+        return pd.DataFrame({"row_id": out_id, "unit": h, "n_shingles": sizes, "keys": keys, "label": out_label, "words": out_text})
 
 
 def table_keys(simhash: np.ndarray) -> np.ndarray:
-    """Six keys of each SimHash, one per table; a key tells its table."""
+    """Six keys of each 64-bit SimHash, one per table; a key tells its table. The operator doesn't use it: it finds candidates by shingles."""
     u = simhash.view(np.uint64)
     blocks = [(u >> np.uint64(16 * b)) & np.uint64(0xFFFF) for b in range(4)]
     return np.stack([(np.uint64(t) << np.uint64(32)) | (blocks[a] << np.uint64(16)) | blocks[b] for t, (a, b) in enumerate(TABLES)], axis=1).view(np.int64)
@@ -184,7 +198,7 @@ def _slot_of(keys: np.ndarray) -> np.ndarray:
 
 def shingles(words: str) -> set[str]:
     w = words.split()
-    n = min(5, len(w))
+    n = min(SHINGLE, len(w))
     return {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
 
 
@@ -193,25 +207,22 @@ def similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y) if x or y else 0.0
 
 
-def _with_keys(df: DataFrame, only: np.ndarray | None) -> DataFrame:
-    """df (unit, simhash, label, words) times its table keys; only: a filter of keys worth keeping."""
-    shared = None if only is None else df.sparkSession.sparkContext.broadcast(only)
+def _keys_in(bits: np.ndarray, spark: SparkSession):
+    """A UDF that leaves of an array of keys those that the filter holds."""
+    shared = spark.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = None if shared is None else shared.value
-        for b in batches:
-            keys = table_keys(b["simhash"].to_numpy())
-            if bits is None:
-                keep = np.ones(keys.shape, bool)
-            else:
-                at = _slot_of(keys.reshape(-1)).reshape(keys.shape)
-                keep = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            r, c = np.nonzero(keep)
-            out = b.iloc[r].reset_index(drop=True)
-            out["key"] = keys[r, c]
-            yield out
+    @F.pandas_udf("array<bigint>")
+    def f(keys: pd.Series) -> pd.Series:
+        if not len(keys):
+            return keys
+        flat = np.concatenate(keys.to_list()).astype(np.int64)
+        at = _slot_of(flat)
+        keep = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+        ends = np.cumsum(keys.map(len).to_numpy(np.int64))
+        kept = np.concatenate([[0], np.cumsum(keep)])[ends]
+        return pd.Series(np.split(flat[keep], kept[:-1]), index=keys.index)
 
-    return df.mapInPandas(run, "unit BIGINT, simhash BIGINT, label STRING, words STRING, key BIGINT")
+    return f
 
 
 def _filter_of(keyed: DataFrame) -> np.ndarray:
@@ -260,10 +271,10 @@ def label_documents(docs: DataFrame, known: set[str], short: set[str], row_id: s
                 yield lab.batch(p["row_id"].tolist(), p["text"].tolist())
 
     texts = spread(docs.select(F.col(row_id).alias("row_id"), F.col(text).alias("text"))).filter((F.trim("text") != "") & F.col("row_id").isNotNull())
-    units = materialise(texts.mapInPandas(cut, f"row_id {kind}, unit BIGINT, simhash BIGINT, label STRING, words STRING"), "residue-units")
+    units = materialise(texts.mapInPandas(cut, f"row_id {kind}, unit BIGINT, n_shingles BIGINT, keys ARRAY<BIGINT>, label STRING, words STRING"), "residue-units")
 
     units = _judge_bare(units)
-    one = lambda d: d.groupBy("unit").agg(F.min("simhash").alias("simhash"), F.min("label").alias("label"), F.min("words").alias("words"))
+    one = lambda d: d.groupBy("unit").agg(*[F.min(c).alias(c) for c in ("n_shingles", "keys", "label", "words")])
     trusted = materialise(one(units.filter("label <> 'placeholder' AND words <> ''")), "residue-trusted")
     reached = trusted.select("unit", "label")
     frontier = trusted
@@ -273,13 +284,13 @@ def label_documents(docs: DataFrame, known: set[str], short: set[str], row_id: s
         return pd.Series([similarity(x, y) for x, y in zip(a, b)])
 
     for n in range(100):
-        probes = materialise(_with_keys(frontier.select("unit", "simhash", "label", "words"), None), f"residue-probes-{n}")
-        near = _with_keys(units.filter("label IS NULL AND words <> ''").select("unit", "simhash", F.lit(None).cast("string").alias("label"), "words"), _filter_of(probes))
-        near = near.groupBy("key", "unit").agg(F.min("simhash").alias("simhash"), F.min("words").alias("words"))
-        p = probes.select("key", F.col("simhash").alias("p_simhash"), F.col("label").alias("p_label"), F.col("words").alias("p_words"))
-        hits = near.join(p, "key").filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("p_simhash"))) <= MAX_HAMMING)
-        hits = hits.dropDuplicates(["unit", "p_simhash", "p_words"]).filter(alike("words", "p_words") >= MIN_SIMILARITY)
-        new = one(hits.select("unit", "simhash", F.col("p_label").alias("label"), "words"))
+        probes = materialise(frontier.select("unit", "n_shingles", "label", F.explode("keys").alias("key")).toDF("p_unit", "p_shingles", "p_label", "key"), f"residue-probes-{n}")
+        near = units.filter("label IS NULL AND n_shingles > 0").select("unit", "n_shingles", "keys", "words", F.explode(_keys_in(_filter_of(probes), spark)("keys")).alias("key"))
+        near = near.groupBy("key", "unit").agg(*[F.min(c).alias(c) for c in ("n_shingles", "keys", "words")])
+        hits = near.join(probes, "key").filter(F.least("n_shingles", "p_shingles") >= MIN_SIMILARITY * F.greatest("n_shingles", "p_shingles") - 1e-9)
+        hits = hits.dropDuplicates(["unit", "p_unit"]).join(frontier.select(F.col("unit").alias("p_unit"), F.col("words").alias("p_words")), "p_unit")
+        hits = hits.filter(alike("words", "p_words") >= MIN_SIMILARITY)
+        new = one(hits.select("unit", "n_shingles", "keys", F.col("p_label").alias("label"), "words"))
         frontier = materialise(new.join(reached.select("unit"), "unit", "left_anti"), f"residue-frontier-{n}")
         if frontier.isEmpty():
             break

@@ -358,6 +358,40 @@ def test_table_keys_find_close_hashes():
     assert found == 300  # any two flipped bits leave two of four blocks whole
 
 
+def test_prefixes_meet_for_every_similar_pair():
+    """Whatever the length and the edit: units as similar as MIN_SIMILARITY have a key in common."""
+    rng = random.Random(5)
+    lab = residue.Labeller(set(), set())
+    seen = 0
+    for _ in range(4000):
+        a = [f"w{rng.randrange(rng.choice((8, 5000)))}" for _ in range(rng.randint(5, 60))]
+        b = list(a)
+        for _ in range(rng.randint(1, 2)):
+            at = rng.choice((0, len(b), rng.randint(0, len(b))))
+            b[at : at + rng.randint(0, 1)] = ["new"] * rng.randint(0, 1)
+        if a != b and len(b) >= 5 and residue.similarity(" ".join(a), " ".join(b)) >= residue.MIN_SIMILARITY:
+            (x, y), sizes = lab._prefixes([a, b])
+            assert set(x.tolist()) & set(y.tolist()), (a, b)
+            assert sizes.tolist() == [len(residue.shingles(" ".join(w))) for w in (a, b)]
+            seen += 1
+    assert seen > 500
+
+
+@need_data
+def test_every_near_duplicate_of_a_labelled_unit_gets_its_label(spark, common):
+    """Recall on pairs of units: each variant misses the wording of the rules and stands alone in its document."""
+    rng = random.Random(6)
+    docs = []
+    for i in range(60):
+        words = ["".join(rng.choices("bdfgklmnprstvz", k=1) + rng.choices("aeiou", k=1) + rng.choices("bdfgklmnprst", k=3)) for _ in range(rng.randint(10, 30))]
+        docs += [(2 * i, " ".join([*words, "please", "try", "again", "later"])), (2 * i + 1, " ".join([*words, "please", "try", "again", "soon"]))]
+    assert all(residue.similarity(docs[k][1], docs[k + 1][1]) >= residue.MIN_SIMILARITY for k in range(0, len(docs), 2))
+    lab = residue.Labeller(*common)
+    assert all(lab.label(t, t.split(), False) in (None, residue.BARE) for i, t in docs if i % 2)
+    got = {r.doc_id: r.label for r in residue.label_documents(spark.createDataFrame(docs, "doc_id LONG, text STRING"), *common).collect()}
+    assert got == {i: "error" for i, _ in docs}
+
+
 @need_data
 def test_recall_against_brute_force(spark, common):
     """Near-duplicates of labelled units among all units: by tables and by comparing everything."""
