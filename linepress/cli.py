@@ -87,6 +87,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--name", default="run")
     p.add_argument("--stopwords", type=folder, help="folder of xx.txt files")
+    p.add_argument("--orthography", type=folder, help="folder of files replacements.xx, by which bifix puts misspelt words right")
+    p.add_argument("--ignore-orthography", action="store_true", help="bifix without --orthography's corrections")
     p.add_argument("--no-empty", action="store_true")
     p.add_argument("--max-id", type=positive_or_zero, default=5)
     p.add_argument("--dropout", type=share, default=0.1)
@@ -113,12 +115,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     words: dict[str, list[str]] = {}
     if a.stopwords:
         words = langid.stopword_lists(readers.read_stopwords(spark, a.stopwords).select("lang", F.explode("words").alias("word")))
-    c = Commands(words, config["args"].get("aliases") or {}, a.max_id, a.dropout)
+    c = Commands(words, config["args"].get("aliases") or {}, a.max_id, a.dropout, orthography=readers.read_replacements(spark, a.orthography) if a.orthography else None)
     datasets = catalog.to_frame(spark, config)
     if a.command == "bifix":
         done = None
         for s, t in {(d["src_lang"], d["tgt_lang"]) for d in config["data"].values()}:
-            part = run(pairs.filter((F.col("src_lang") == s) & (F.col("tgt_lang") == t)), [c.bifix(s, t)], c, a.no_empty)
+            part = run(pairs.filter((F.col("src_lang") == s) & (F.col("tgt_lang") == t)), [c.bifix(s, t, ignore_orthography=a.ignore_orthography)], c, a.no_empty)
             done = part if done is None else done.unionByName(part)
         writers.write_once(done, target)
     elif a.command in CLEANING:

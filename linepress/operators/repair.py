@@ -157,12 +157,14 @@ def spell_pairs(pairs: DataFrame, orthography: DataFrame, source: str, target: s
     return d.withColumn(source, fix_spelling(source, F.col("__s"))).withColumn(target, fix_spelling(target, F.col("__t"))).drop("__s", "__t")
 
 
-def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str, target_lang: str, ignore_empty: bool = True, ignore_long: bool = True, aggressive: bool = False) -> DataFrame:
+def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str, target_lang: str, ignore_empty: bool = True, ignore_long: bool = True, aggressive: bool = False, orthography: DataFrame | None = None, ignore_orthography: bool = False) -> DataFrame:
     """Pairs of one language pair fixed, with seg_hash and ranking added.
 
     ignore_empty drops pairs with an empty side before and after fixing. ignore_long lets pairs with a side of more than
     MAX_CHARS through with only blanks and newlines taken off. aggressive: the hash is of the loose form and ranking is
-    the mean code point, so that near-duplicates share a hash; else of the text itself, and ranking is 1.
+    the mean code point, so that near-duplicates share a hash; else of the text itself, and ranking is 1. orthography: a small
+    table (lang, wrong, correct) by which misspelt words are put right in the fixed text, before hash and ranking; languages
+    without words in it stay as they are. ignore_orthography leaves this stage out. Pairs let through aren't spelled either.
     """
     s, t = F.col(source), F.col(target)
     filled = lambda d: d.filter((F.col(source) != "") & (F.col(target) != "")) if ignore_empty else d
@@ -170,6 +172,11 @@ def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str, targ
     d = filled(pairs).withColumn("__long", long)
     d = d.withColumn(source, F.when(F.col("__long"), T.strip_blank_newline(s)).otherwise(fix_text(F.when(~F.col("__long"), s), source_lang)))
     d = d.withColumn(target, F.when(F.col("__long"), T.strip_blank_newline(t)).otherwise(fix_text(F.when(~F.col("__long"), t), target_lang)))
+    if orthography is not None and not ignore_orthography:
+        m, none = correction_map(orthography), F.expr("cast(map() as map<string, string>)")
+        for side, lang in ((source, source_lang), (target, target_lang)):
+            corrections = F.when(~F.col("__long"), F.coalesce(F.try_element_at(m, F.lit(lang)), none))
+            d = d.withColumn("__m", corrections).withColumn(side, F.when(F.col("__long"), F.col(side)).otherwise(fix_spelling(side, F.col("__m")))).drop("__m")
     d = filled(d.drop("__long"))
     if aggressive:
         key, rank = F.concat_ws("\t", T.loose_form(source), T.loose_form(target)), T.mean_code_point(F.concat(s, t))

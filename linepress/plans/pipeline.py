@@ -26,12 +26,13 @@ class Commands:
     max_id: int = 5
     dropout: float = 0.1
     seed: str = "linepress"
+    orthography: DataFrame | None = None
 
     def charfix(self, d: DataFrame) -> DataFrame:
         return d.withColumn(SOURCE, charfix(SOURCE)).withColumn(TARGET, charfix(TARGET))
 
     def bifix(self, source_lang: str, target_lang: str, **options) -> Step:
-        return lambda d: repair.fix_pairs(d, SOURCE, TARGET, source_lang, target_lang, **options)
+        return lambda d: repair.fix_pairs(d, SOURCE, TARGET, source_lang, target_lang, **{"orthography": self.orthography, **options})
 
     def biclean(self, d: DataFrame, detected: rules.Detected | None = None, minimal_length: bool = True) -> DataFrame:
         return rules.keep_clean(d, SOURCE, TARGET, F.col("src_lang"), F.col("tgt_lang"), detected, minimal_length)

@@ -99,6 +99,13 @@ def read_replacements(spark: SparkSession, path: str) -> DataFrame:
     return d.groupBy("wrong").agg(F.max_by("correct", "line_no").alias("correct"))
 
 
+def read_replacements(spark: SparkSession, folder: str) -> DataFrame:
+    """lang, wrong, correct of all files replacements.xx below folder: two columns with a tab between; other lines are skipped."""
+    d = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "replacements.*").text(folder)
+    d = d.select(F.regexp_extract("_metadata.file_name", r"replacements\.([a-z]{2})$", 1).alias("lang"), F.split("value", "\t").alias("f"))
+    return d.filter((F.col("lang") != "") & (F.size("f") > 1)).select("lang", strip(F.col("f")[0]).alias("wrong"), strip(F.col("f")[1]).alias("correct"))
+
+
 def read_stopwords(spark: SparkSession, folder: str) -> DataFrame:
     """lang, words (sorted, distinct) of all xx.txt files below folder; blank lines and lines with # are skipped."""
     d = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(folder)

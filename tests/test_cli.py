@@ -34,6 +34,16 @@ def test_sizes_and_resample(spark, tmp_path):
     assert spark.read.parquet(f"{out}/resample.dry").count() == 2
 
 
+def test_bifix_spells(spark, tmp_path):
+    (tmp_path / "words").mkdir()
+    (tmp_path / "words" / "replacements.de").write_text("gute\tbeste\n")
+    config, more = catalog(tmp_path), ["--orthography", str(tmp_path / "words")]
+    for name, options, word in (("on", more, "beste"), ("off", [*more, "--ignore-orthography"], "gute")):
+        cli.main(["bifix", "--config", config, "--out", str(tmp_path / "out"), "--name", name, *options], spark)
+        got = {r[0] for r in spark.read.parquet(f"{tmp_path}/out/bifix.{name}").select("target_segment").collect()}
+        assert got == {f"Das ist der {word} Satz {i}" for i in range(20)}
+
+
 def test_validators(tmp_path):
     assert cli.positive("3") == 3 and cli.positive_or_zero("0") == 0 and cli.share("0.5") == 0.5 and cli.folder(str(tmp_path))
     for f, bad in ((cli.positive, "0"), (cli.positive_or_zero, "-1"), (cli.share, "1.5"), (cli.folder, "/nowhere")):

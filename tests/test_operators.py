@@ -36,6 +36,18 @@ def test_fix_pairs_gates(spark):
     assert len({r.seg_hash for r in repair.fix_pairs(same, "s", "g", "en", "de", aggressive=True).collect()}) == 1
 
 
+def test_fix_pairs_spells_before_hash_and_ranking(spark):
+    words = spark.createDataFrame([("en", "teh", " the "), ("de", "nciht", "nicht")], "lang STRING, wrong STRING, correct STRING")
+    long = "teh " * 1300
+    d = spark.createDataFrame([(1, "teh  cat", "nciht teh"), (2, "the cat", "nicht teh"), (3, long, "nciht")], "i INT, s STRING, g STRING")
+    for aggressive in (False, True):
+        got = {r.i: r for r in repair.fix_pairs(d, "s", "g", "en", "de", aggressive=aggressive, orthography=words).collect()}
+        assert (got[1].s, got[1].g) == ("the cat", "nicht teh") and got[1][3:] == got[2][3:]
+        assert (got[3].s, got[3].g) == (long.strip(), "nciht")
+    off = {r.i: r for r in repair.fix_pairs(d, "s", "g", "en", "de", orthography=words, ignore_orthography=True).collect()}
+    assert (off[1].s, off[1].g) == ("teh cat", "nciht teh") and off[1].seg_hash != off[2].seg_hash
+
+
 # -- tags --------------------------------------------------------------------------------------------------------------
 def test_tags_out_and_in(spark):
     d = spark.createDataFrame([("see <b> bold </b> at http://x.org/a now",), ("mail (a.b@c.de) me",), ("plain",), ("",)], "x STRING")
