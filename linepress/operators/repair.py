@@ -22,6 +22,8 @@ CONTRACTIONS = "s|S|t|T|m|M|d|D|re|RE|ll|LL|ve|VE|em|EM"
 HOMOGLYPHS_CYRILLIC = {"А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "y", "Х": "X", "Ь": "b", "а": "a", "е": "e", "к": "k", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "І": "I", "і": "i", "Ј": "J", "ј": "j", "Ѕ": "S", "ѕ": "s"}
 HOMOGLYPHS_GREEK = {"Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v"}
 QUOTES = {"“": '"', "”": '"', "„": '"', "‟": '"', "«": '"', "»": '"', "‘": "'", "’": "'", "‚": "'", "‛": "'", "′": "'", "″": '"', "…": "...", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-"}
+#: Matches nowhere.
+NOTHING = "(?!)"
 LINE_ENDS = "\r\n\u000b\u000c\u0085  "
 
 
@@ -61,9 +63,19 @@ def collapse_blanks(text: Column) -> Column:
     return F.regexp_replace(x, r"& *# *([0-9]{2,6}) *;", "&#$1;")
 
 
-def drop_ranges(text: Column, lang: str) -> Column:
+def _by_language(lang: str | Column, special: dict[str, str], other: str) -> Column:
+    """A pattern by language: a literal for one language, else chosen for each row."""
+    if isinstance(lang, str):
+        return F.lit(special.get(lang, other))
+    out = F.lit(other)
+    for k, v in special.items():
+        out = F.when(lang == k, F.lit(v)).otherwise(out)
+    return out
+
+
+def drop_ranges(text: Column, lang: str | Column) -> Column:
     """Stages 6 and 7: private use, compatibility and specials unless Japanese; typographic blanks; controls up to the no-break space."""
-    x = text if lang == "ja" else F.regexp_replace(text, "[-￿]", "")
+    x = F.regexp_replace(text, _by_language(lang, {"ja": NOTHING}, "[-￿]"), F.lit(""))
     return F.regexp_replace(F.regexp_replace(x, "[ -‏]", ""), "[\u007f- ]", "")
 
 
@@ -72,12 +84,15 @@ def single_apostrophes(text: Column) -> Column:
     return F.regexp_replace(text, rf"(\p{{IsAlphabetic}})''((?:{CONTRACTIONS})\W)", "$1'$2")
 
 
-def close_up_punctuation(text: Column, lang: str) -> Column:
+def close_up_punctuation(text: Column, lang: str | Column) -> Column:
     """Stage 9: no blank before closing and after opening marks; French keeps blanks before its high punctuation."""
-    marks = CLOSE_UP_FRENCH if lang == "fr" else CLOSE_UP
+    return T.strip(F.regexp_replace(text, _by_language(lang, {"fr": _blanks_beside(CLOSE_UP_FRENCH)}, _blanks_beside(CLOSE_UP)), F.lit("$1$2")))
+
+
+def _blanks_beside(marks: list[str]) -> str:
     before = "|".join(re.escape(m[1:]) for m in marks if m[0] == " ")
     after = "|".join(re.escape(m[:-1]) for m in marks if m[-1] == " ")
-    return T.strip(F.regexp_replace(text, f" ({before})|({after}) ", "$1$2"))
+    return f" ({before})|({after}) "
 
 
 def _mojibake(word: str) -> str:
@@ -98,32 +113,35 @@ def _mojibake(word: str) -> str:
     return word
 
 
-def _restore(lang: str):
+@lru_cache(maxsize=32)
+def _char_pattern(lang: str) -> re.Pattern:
     table = char_map(lang)
     firsts = "".join(sorted({k[0] for k in table}))
     # the class ahead spares trying every key at every character
-    pattern = re.compile(f"(?=[{re.escape(firsts)}])(?:" + "|".join(map(re.escape, sorted(table, key=len, reverse=True))) + ")")
+    return re.compile(f"(?=[{re.escape(firsts)}])(?:" + "|".join(map(re.escape, sorted(table, key=len, reverse=True))) + ")")
 
-    @F.pandas_udf("string")
-    def f(text: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            if t is None:
-                return None
-            t = html.unescape(" ".join(html.unescape(_mojibake(w)) for w in t.split()))
-            return pattern.sub(lambda m: table[m.group()], t)
-
-        return text.map(one)
 
-    return f.asNondeterministic()  # keeps the optimiser from running it once for each use of its result
+def _restored(t: str | None, lang: str | None) -> str | None:
+    if t is None:
+        return None
+    table, pattern = char_map(lang or ""), _char_pattern(lang or "")
+    t = html.unescape(" ".join(html.unescape(_mojibake(w)) for w in t.split()))
+    return pattern.sub(lambda m: table[m.group()], t)
 
 
-def restore_text(text: Column | str, lang: str) -> Column:
+def restore_text(text: Column | str, lang: str | Column) -> Column:
     """Stages 3 to 5 (Arrow batches): mojibake by word, entities, one pass of the character map."""
-    return _restore(lang)(T.col(text))
+
+    @F.pandas_udf("string")
+    def f(text: pd.Series, lang: pd.Series) -> pd.Series:
+        return pd.Series([_restored(t, x) for t, x in zip(text, lang)], index=text.index, dtype=object)
+
+    # nondeterministic: keeps the optimiser from running it once for each use of its result
+    return f.asNondeterministic()(T.col(text), F.lit(lang) if isinstance(lang, str) else lang)
 
 
-def fix_text(text: Column | str, lang: str) -> Column:
-    """All nine stages, in order."""
+def fix_text(text: Column | str, lang: str | Column) -> Column:
+    """All nine stages, in order; lang: a language or a column of them."""
     x = restore_text(collapse_blanks(T.col(text)), lang)
     return close_up_punctuation(single_apostrophes(drop_ranges(x, lang)), lang)
 
@@ -157,8 +175,8 @@ def spell_pairs(pairs: DataFrame, orthography: DataFrame, source: str, target: s
     return d.withColumn(source, fix_spelling(source, F.col("__s"))).withColumn(target, fix_spelling(target, F.col("__t"))).drop("__s", "__t")
 
 
-def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str, target_lang: str, ignore_empty: bool = True, ignore_long: bool = True, aggressive: bool = False, orthography: DataFrame | None = None, ignore_orthography: bool = False) -> DataFrame:
-    """Pairs of one language pair fixed, with seg_hash and ranking added.
+def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str | Column, target_lang: str | Column, ignore_empty: bool = True, ignore_long: bool = True, aggressive: bool = False, orthography: DataFrame | None = None, ignore_orthography: bool = False) -> DataFrame:
+    """Pairs fixed, with seg_hash and ranking added. source_lang, target_lang: the languages of all pairs, or columns of them.
 
     ignore_empty drops pairs with an empty side before and after fixing. ignore_long lets pairs with a side of more than
     MAX_CHARS through with only blanks and newlines taken off. aggressive: the hash is of the loose form and ranking is
@@ -175,7 +193,7 @@ def fix_pairs(pairs: DataFrame, source: str, target: str, source_lang: str, targ
     if orthography is not None and not ignore_orthography:
         m, none = correction_map(orthography), F.expr("cast(map() as map<string, string>)")
         for side, lang in ((source, source_lang), (target, target_lang)):
-            corrections = F.when(~F.col("__long"), F.coalesce(F.try_element_at(m, F.lit(lang)), none))
+            corrections = F.when(~F.col("__long"), F.coalesce(F.try_element_at(m, F.lit(lang) if isinstance(lang, str) else lang), none))
             d = d.withColumn("__m", corrections).withColumn(side, F.when(F.col("__long"), F.col(side)).otherwise(fix_spelling(side, F.col("__m")))).drop("__m")
     d = filled(d.drop("__long"))
     if aggressive:

@@ -211,9 +211,8 @@ def fix_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fix_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs from English to German through all stages, with hash and ranking."""
-    d = pairs(spark, sf_dir).filter("src_lang = 'en' AND tgt_lang = 'de'")
-    return repair.fix_pairs(d, S, G, "en", "de", aggressive=True, orthography=table(spark, sf_dir, "orthography")).select("pair_id", S, G, "seg_hash", "ranking")
+    """Pairs of all datasets through all stages, each side by its language, with hash and ranking."""
+    return repair.fix_pairs(pairs(spark, sf_dir), S, G, F.col("src_lang"), F.col("tgt_lang"), aggressive=True, orthography=table(spark, sf_dir, "orthography")).select("pair_id", S, G, "seg_hash", "ranking")
 
 
 def tag_protect(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,22 @@ def test_fix_pairs_spells_before_hash_and_ranking(spark):
     assert (off[1].s, off[1].g) == ("teh cat", "nciht teh") and off[1].seg_hash != off[2].seg_hash
 
 
+def test_fix_pairs_by_language_column(spark):
+    """Each pair comes out as fix_pairs of its own two languages gives it."""
+    words = spark.createDataFrame([("en", "teh", "the"), ("fr", "lse", "les")], "lang STRING, wrong STRING, correct STRING")
+    texts = ["teh lse oui ! ( non ) „Haus“", "Москва cafÃ© &amp; ﬁn", "ＡＢＣ it''s \ue000 x ?"]
+    langs = ["en", "fr", "ru", "de", "ja", "el", ""]
+    d = spark.createDataFrame([(100 * i + 10 * j + k, t, texts[k - 1], a, b) for i, a in enumerate(langs) for j, b in enumerate(langs) for k, t in enumerate(texts)], "i INT, s STRING, g STRING, a STRING, b STRING")
+    cols = ("i", "s", "g", "seg_hash", "ranking")
+    got = {tuple(r) for r in repair.fix_pairs(d, "s", "g", F.col("a"), F.col("b"), aggressive=True, orthography=words).select(*cols).collect()}
+    want = set()
+    for a, b in (("en", "fr"), ("fr", "ru"), ("ja", "de"), ("", "el"), ("de", "")):
+        part = {tuple(r) for r in repair.fix_pairs(d.filter((F.col("a") == a) & (F.col("b") == b)), "s", "g", a, b, aggressive=True, orthography=words).select(*cols).collect()}
+        assert len(part) == len(texts)
+        want |= part
+    assert want <= got and len(got) == d.count()
+
+
 # -- tags --------------------------------------------------------------------------------------------------------------
 def test_tags_out_and_in(spark):
     d = spark.createDataFrame([("see <b> bold </b> at http://x.org/a now",), ("mail (a.b@c.de) me",), ("plain",), ("",)], "x STRING")

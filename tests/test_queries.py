@@ -29,6 +29,12 @@ def test_partitions_change_nothing(spark, name):
             spark.conf.set(k, v)
 
 
+def test_fix_full_takes_every_language_pair(spark):
+    d = catalogue.pairs(spark, DATA).filter("trim(source_segment) <> '' AND trim(target_segment) <> ''").select("pair_id", "src_lang", "tgt_lang")
+    left = d.join(QUERIES["fix_full"](spark, DATA), "pair_id").select("src_lang", "tgt_lang").distinct()
+    assert left.count() == d.select("src_lang", "tgt_lang").distinct().count() > 1
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
