@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -29,23 +30,51 @@ def build_session(app: str = "linepress", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else (tests) a folder of this machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: the setting spark.checkpoint.dir, else the session's checkpoint directory.
+
+    Where neither is set, a session on one machine uses that machine's temporary folder; on a cluster that is an error, as
+    each executor would write to its own disk.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = os.path.join(tempfile.gettempdir(), "linepress-shared")
         spark.sparkContext.setCheckpointDir(path)
+        path = spark.sparkContext.getCheckpointDir() or path
     return path.rstrip("/")
 
 
+def _filesystem(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/linepress/{name}-{uuid.uuid4().hex}"
+    """A new path for an intermediate table, below a folder of this application that is deleted when the driver ends."""
+    root = f"{shared_dir(spark)}/linepress-{spark.sparkContext.applicationId}"
+    fs, p = _filesystem(spark, root)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives the loss of an executor."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._linepress_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialise wrote and nothing will read again."""
+    for t in tables:
+        if path := getattr(t, "_linepress_path", None):
+            fs, p = _filesystem(t.sparkSession, path)
+            fs.delete(p, True)
 
 
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
