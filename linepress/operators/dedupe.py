@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from linepress.functions.text import loose_form, mean_code_point
 
 
+def digest(*columns: str) -> Column:
+    """128 bits that tell rows by the given columns; null differs from '' and no two columns run together."""
+    part = lambda c: F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(*[part(c) for c in columns])))
+
+
 def distinct_pairs(pairs: DataFrame, source: str = "source_segment", target: str = "target_segment") -> DataFrame:
-    """The distinct pairs (binary equality); order them where they are written."""
-    return pairs.select(source, target).distinct()
+    """The distinct pairs (binary equality); order them where they are written. Keyed by their digest."""
+    d = pairs.select(source, target).withColumn("__d", digest(source, target))
+    return d.groupBy("__d").agg(F.any_value(F.struct(source, target)).alias("__p")).select(F.col(f"__p.{source}").alias(source), F.col(f"__p.{target}").alias(target))
 
 
 def first_of(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the given order. A maximum of structs: combines before it shuffles, no window."""
+    """The first row of each key in the given order. A minimum of structs by the key's digest: combines before it shuffles,
+    no window, and a key that isn't read afterwards isn't shuffled at all."""
     cols = df.columns
-    rest = [c for c in cols if c not in key]
-    best = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*key).agg(best.alias("__b")).select(*key, *[F.col(f"__b.{c}").alias(c) for c in rest]).select(*cols)
+    best = F.min_by(F.struct(*cols), F.struct(*order))
+    return df.groupBy(digest(*key).alias("__d")).agg(best.alias("__b")).select(*[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
 def exact_groups(pairs: DataFrame, row_id: str, source: str = "source_segment", target: str = "target_segment") -> DataFrame:

@@ -1,19 +1,15 @@
 """The ordered cascade of quality rules: the first rule that rejects a pair names the reason, 'keep' if none does.
 
 Built as one CASE, so later rules are not evaluated for rows an earlier one rejects. The two rules that need a language
-take detected languages as columns; the URL rule needs its match groups, which a pandas UDF counts for the few texts
-that can hold a URL at all.
+take detected languages as columns.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from linepress.functions.text import ALPHA, LOWER, PUNCT, UPPER, alpha_share, casefold, col, count_of, is_title
 
@@ -28,23 +24,20 @@ SAFE_NOISE_LANGS = ["en", "es", "fr", "pl", "de", "it", "pt", "nl", "cs", "ro",
 SIMILAR_PAIRS = [("ca", "es"), ("es", "gl"), ("gl", "pt"), ("nn", "no"), ("da", "no")]
 LONG_TEXT = 30
 #: A URL and its inner groups; lengths of all groups of all matches add up.
-URL = re.compile(
+URL = (
     r"((?:https?://|www\d{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}/)"
     r"(?:[^\s()<>]|\((:?[^\s()<>]+|(\([^\s()<>]+\)))*\))+"
     r"(?:\(([^\s()<>]+|(\([^\s()<>]+\)))*\)|[^\s`!()\[\]{};:'\".,<>?«»“”‘’]))"
 )
+URL_GROUPS = 5
 URL_HINT = r"https?://|www[0-9]{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}/"
 KEEP, EMPTY = "keep", "empty_side"
 
 
-@F.pandas_udf(IntegerType())
-def url_chars(text: pd.Series) -> pd.Series:
-    """Characters in all groups of all URLs; nested groups count each time. Null gives 0."""
-    return text.map(lambda t: 0 if t is None else sum(len(g) for m in URL.finditer(t) for g in m.groups() if g)).astype("int32")
-
-
 def _urls(text: Column) -> Column:
-    return url_chars(F.when(text.rlike(URL_HINT), text))
+    """Characters in all groups of all URLs; nested groups count each time. Null gives 0. Only texts that can hold one are searched."""
+    lengths = [F.char_length(F.array_join(F.regexp_extract_all(text, F.lit(URL), k), "")) for k in range(1, 1 + URL_GROUPS)]
+    return F.when(text.rlike(URL_HINT), sum(lengths[1:], lengths[0])).otherwise(0)
 
 
 @dataclass(frozen=True)
@@ -84,7 +77,7 @@ def different_language_fails(d: Detected, source_lang: Column, target_lang: Colu
     s, t = _norwegian(source_lang), _norwegian(target_lang)
     a, b = F.col(d.source_lang), F.col(d.target_lang)
     both = F.col(d.source_reliable) & F.col(d.target_reliable)
-    fine = ~both | (a != b) | (a.isin([]) | ((a == s) | (a == t)) & _similar(s, t))
+    fine = ~both | (a != b) | ((a == s) | (a == t)) & _similar(s, t)
     return ~F.coalesce(fine, F.lit(False))
 
 

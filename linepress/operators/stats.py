@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+MAX_LANGUAGES = 5000
+
 
 def line_counts(lines: DataFrame, key: str = "ds") -> DataFrame:
     return lines.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -29,8 +31,11 @@ def size_matrix(sizes: DataFrame) -> DataFrame:
 
 
 def size_table(sizes: DataFrame, langs: list[str] | None = None) -> DataFrame:
-    """One row per source language, one column per target language, 0 where there is nothing."""
-    langs = langs or [r[0] for r in sizes.select("tgt_lang").distinct().orderBy("tgt_lang").limit(5000).collect()]
+    """One row per source language, one column per target language, 0 where there is nothing. At most MAX_LANGUAGES columns."""
+    if not langs:
+        langs = [r[0] for r in sizes.select("tgt_lang").distinct().orderBy("tgt_lang").limit(MAX_LANGUAGES + 1).collect()]
+        if len(langs) > MAX_LANGUAGES:
+            raise ValueError("too many languages for a table with a column for each; use size_matrix")
     return sizes.groupBy("src_lang").pivot("tgt_lang", langs).agg(F.sum("size")).na.fill(0, langs)
 
 

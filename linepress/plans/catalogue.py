@@ -81,9 +81,21 @@ def rule_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(f"r{i}", F.lit(0)).alias("n")) for i, (name, _) in enumerate(rs)])).alias("x")).select("x.rule", "x.n")
 
 
+def with_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs with addresses added to either side, as no segment of the test tables has one: the form goes by pair_id."""
+    form, at = F.pmod("pair_id", F.lit(6)), F.concat_ws("/", "ds", "line_no")
+    add = lambda x, *forms: F.concat(x, F.element_at(F.array(*forms), (form + 1).cast("int")))
+    source = add(F.col(S), F.lit(""), F.concat(F.lit(" https://example.org/"), at), F.concat(F.lit(" www.example.org/"), at, F.lit("_(a(b))")), F.concat(F.lit(" http://a.org/x "), at), F.concat(F.lit(" data.example.net/"), at, F.lit("/(x)(y(z)w).")), F.lit(" ftp:/none"))
+    target = add(F.col(G), F.concat(F.lit(" www2.example.com/(b(c)d) "), at), F.lit(""), F.lit(" a.org/"), F.concat(F.lit(" http://a.org/x "), at), F.lit(" https://"), F.lit(" ftp:/none"))
+    return pairs(spark, sf_dir).withColumn("__g", target).withColumn(S, source).withColumn(G, F.col("__g")).drop("__g")
+
+
 def url_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = doc_lines(spark, sf_dir)
-    return d.select("doc_id", "line_no", rules._urls(F.col("text")).alias("n")).filter("n > 0")
+    return with_urls(spark, sf_dir).select("pair_id", rules._urls(F.col(S)).alias("source_chars"), rules._urls(F.col(G)).alias("target_chars"))
+
+
+def rule_verdicts_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(with_urls(spark, sf_dir), S, G, F.col("src_lang"), F.col("tgt_lang")).select("pair_id", "reason", "keep")
 
 
 def charfix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,7 +347,7 @@ def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = [
-        rule_report, rule_verdicts, rule_verdicts_lang, rule_flags, url_lengths, charfix, scalar_functions, seg_hashes, rankings, line_counts, size_matrix, size_pivot, language_sizes,
+        rule_report, rule_verdicts, rule_verdicts_lang, rule_flags, url_lengths, rule_verdicts_urls, charfix, scalar_functions, seg_hashes, rankings, line_counts, size_matrix, size_pivot, language_sizes,
         dedup_exact, dedup_first, dedup_groups, dedup_near, zip_pad, zip_left, decontaminate, extract_units, extract_units_report, extract_tsv, extract_sgm, extract_docs,
         orthography_fix, fix_native, fix_full, tag_protect, tag_roundtrip, tag_counts, query_spans, paste_queries, langid_topk, langid_reliable, langcheck,
         resample_parallel, resample_counts, resample_mono, shard_assign, shard_replicate, line_offsets, multimeta, catalog_discovery, stopword_table, pipe_docs, clean_pipeline, hourly_events,

@@ -51,6 +51,14 @@ def title(x: str) -> str:
     return f"NOT regexp_matches({x}, {q(f'{CASED}[{UPPER}' + chr(92) + 'p{Lt}]')}) AND NOT regexp_matches({x}, {q(f'(^|[^{CASED[1:-1]}]){LOWER}')}) AND regexp_matches({x}, {q(f'[{UPPER}' + chr(92) + 'p{Lt}]')})"
 
 
+URL = r"((?:https?://|www\d{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}/)(?:[^\s()<>]|\((:?[^\s()<>]+|(\([^\s()<>]+\)))*\))+(?:\(([^\s()<>]+|(\([^\s()<>]+\)))*\)|[^\s`!()\[\]{};:'" + r'".,<>?«»“”‘’]))'
+
+
+def url_chars(x: str) -> str:
+    """Characters in all five groups of all URLs."""
+    return "(" + " + ".join(f"coalesce(length(array_to_string(regexp_extract_all({x}, {q(URL)}, {k}), '')), 0)" for k in range(1, 6)) + ")"
+
+
 def rule_list(minimal_length: bool = True) -> list[tuple[str, str]]:
     """(reason, SQL) of each rule over columns s, g, src_lang, tgt_lang."""
     two = lambda name, f: [(f"{name}(left)", f("s")), (f"{name}(right)", f("g"))]
@@ -59,7 +67,6 @@ def rule_list(minimal_length: bool = True) -> list[tuple[str, str]]:
     without = lambda p: fold(f"regexp_replace(s, {q(p)}, '', 'g')") + " = " + fold(f"regexp_replace(g, {q(p)}, '', 'g')")
     blank = r"[ \x{a0}]"
     literal = lambda x, ws: "(" + " OR ".join(f"contains({x}, {q(w)})" for w in ws) + ")"
-    url = r"((?:https?://|www\d{0,3}[.]|[a-z0-9.\-]+[.][a-z]{2,4}/)(?:[^\s()<>]|\((:?[^\s()<>]+|(\([^\s()<>]+\)))*\))+(?:\(([^\s()<>]+|(\([^\s()<>]+\)))*\)|[^\s`!()\[\]{};:'" + r'".,<>?«»“”‘’]))'
     out = [("len(left) >= 1024", "length(s) >= 1024"), ("len(right) >= 1024", "length(g) >= 1024")]
     out += [("c_no_literals(['Re:'], left)", literal("s", ["Re:"])), ("c_no_literals(['Re:'], right)", literal("g", ["Re:"]))]
     if minimal_length:
@@ -71,7 +78,7 @@ def rule_list(minimal_length: bool = True) -> list[tuple[str, str]]:
         ("c_identical_wo_punct", without(r"[\p{P}\p{S}]")),
     ]
     out += two("c_majority_alpha", lambda x: f"{count(x, ALPHA)}::DOUBLE / nullif(length({x}), 0) < 0.5")
-    out += two("c_no_urls", lambda x: f"coalesce(list_sum(list_transform(regexp_extract_all({x}, {q(url)}, 1), lambda u: length(u))), 0) >= 15")
+    out += two("c_no_urls", lambda x: f"{url_chars(x)} >= 15")
     out += two("c_no_breadcrumbs1", lambda x: f"{count(x, '( [-/] |[<>*]| : )')} >= 3")
     out += two("c_no_breadcrumbs2", lambda x: f"{count(x, '( » |[|→←•·¬])')} >= 2")
     out += two("c_no_glued_words", lambda x: f"regexp_matches({x}, {q(f'({ALPHA}*{UPPER}{LOWER}+){{3}}')})")
@@ -91,6 +98,13 @@ def rule_list(minimal_length: bool = True) -> list[tuple[str, str]]:
     return out
 
 
+def with_urls() -> str:
+    at = "coalesce(ds, '') || '/' || line_no"
+    s = ["''", f"' https://example.org/' || {at}", f"' www.example.org/' || {at} || '_(a(b))'", f"' http://a.org/x ' || {at}", f"' data.example.net/' || {at} || '/(x)(y(z)w).'", "' ftp:/none'"]
+    g = [f"' www2.example.com/(b(c)d) ' || {at}", "''", "' a.org/'", f"' http://a.org/x ' || {at}", "' https://'", "' ftp:/none'"]
+    return f"SELECT * REPLACE (s || [{', '.join(s)}][(pair_id % 6 + 1)::INT] AS s, g || [{', '.join(g)}][(pair_id % 6 + 1)::INT] AS g) FROM ({PAIRS})"
+
+
 def verdicts(source: str = PAIRS, columns: str = "pair_id") -> str:
     cases = " ".join(f"WHEN coalesce({e}, false) THEN {q(r)}" for r, e in rule_list())
     return f"SELECT {columns}, CASE WHEN trim(s) = '' OR trim(g) = '' THEN 'empty_side' {cases} ELSE 'keep' END AS reason FROM ({source})"
@@ -214,6 +228,8 @@ def sql() -> dict[str, str]:
         "rule_verdicts": v,
         "rule_verdicts_lang": verdicts_lang(),
         "rule_flags": " UNION ALL ".join(f"SELECT {q(r)} AS rule, count(*) FILTER (WHERE coalesce({e}, false)) n FROM p" for r, e in rule_list()).join([f"WITH p AS ({PAIRS}) ", ""]),
+        "url_lengths": f"SELECT pair_id, {url_chars('s')} source_chars, {url_chars('g')} target_chars FROM ({with_urls()})",
+        "rule_verdicts_urls": f"SELECT pair_id, reason, reason = 'keep' AS keep FROM ({verdicts(with_urls())})",
         "charfix": f"SELECT pair_id, replace(source_segment, chr(13), '') source_segment, replace({CLEAN.format('target_segment')}, '﻿', '') target_segment, {CLEAN.format('source_segment')} extracted FROM bifixer",
         "scalar_functions": f"SELECT pair_id, length(source_segment) chars, strlen(source_segment) octets, {count('source_segment', '[  ]')} blanks, {count('source_segment', '[0-9]')} digits, round({draw(q('s'), 'pair_id')}, 9) u, '<2de> ' || source_segment tagged, md5(replace(source_segment, chr(13), '')) digest FROM bifixer",
         "rankings": f"SELECT pair_id, {mean} AS ranking FROM ({PAIRS})",
