@@ -82,6 +82,14 @@ def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def collect_small(df: DataFrame, max_rows: int = 100_000) -> list:
+    """The rows of a table that is small by nature; an error if it has more than max_rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows in a table that the driver was to read")
+    return rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """df with a hint to broadcast it if it is small; else Spark chooses a join by itself."""
     return F.broadcast(df) if is_small(df, max_rows) else df
