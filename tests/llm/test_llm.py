@@ -105,8 +105,28 @@ def test_mixed_and_empty_segments(spark, model):
     who = languages.Identifier(model)
     en, ru = "The committee supports the proposal before summer, although nobody expected it.", "Комитет поддерживает предложение до лета, хотя никто этого не ждал."
     got = who.languages([f"{en} {ru}", en, "", "12.05.2031", "“Der Garten”", "a@b.example", "— * *"])
-    assert {x[0] for x in got[0]} == {"en", "ru"} and [x[0] for x in got[1]] == ["en"] and got[2:] == [[], [], [], [], []]
-    assert 0.5 <= got[1][0][1] <= 1
+    assert {x[0] for x in got[0]} == {"en", "ru"} and [x[0] for x in got[1]] == ["en"] and [[x[0] for x in g] for g in got[2:]] == [["und"]] * 5
+    assert 0.5 <= got[1][0][1] <= 1 and all(0 <= x[1] <= 1 for g in got for x in g)
+
+
+@need_data
+def test_confidence_is_calibrated(spark):
+    """Of held-out sentences cut to 1 to 20 words: the gap between confidence and share of right answers, by tenths of confidence."""
+    import numpy as np
+
+    data = sorted(tuple(r) for r in read(spark, "lang_samples").select("lang", "text").collect())
+    gaps = []
+    for k in (0, 5):
+        held, fit = data[k::10], [x for i, x in enumerate(data) if i % 10 != k]
+        who = languages.Identifier(languages.train(fit))
+        cuts = languages.cuts_of(held, random.Random(k))
+        said = who.decisions([t for _, t in cuts])
+        conf, right = np.array([who._confidence(s, n) for _, s, n in said]), np.array([languages.LANGS[j] == a for (a, _), (j, _, _) in zip(cuts, said)])
+        tenth = np.minimum((conf * 10).astype(int), 9)
+        gaps.append(sum(abs(conf[tenth == i].mean() - right[tenth == i].mean()) * (tenth == i).mean() for i in set(tenth)))
+        assert {len(languages._WORD.findall(t)) for _, t in cuts} >= set(range(1, 13))
+    print(f"expected calibration errors {gaps}")
+    assert max(gaps) <= 0.05
 
 
 SHORT = {
@@ -138,15 +158,16 @@ def test_short_foreign_clauses(spark, model):
         assert [{x[0] for x in g} for g in who.languages([f"{long[a]} {x}" for x in NO_CLAUSE])] == [{a}] * len(NO_CLAUSE)
 
 
-def test_labels():
-    assert [languages.label_of(x) for x in ("EN", " deu ", "pt-XA", "da_XB", "und", "xx", "", None, "rus")] == ["en", "de", "pt", "da", None, None, None, None, "ru"]
+def test_labels(spark):
+    d = spark.createDataFrame(list(enumerate(("EN", " deu ", "pt-XA", "da_XB", "und", "xx", "", None, "rus", "-"))), "i INT, x STRING")
+    assert [r.got for r in d.select("i", languages.label_of("x").alias("got")).orderBy("i").collect()] == ["en", "de", "pt", "da", None, None, None, None, "ru", None]
 
 
 @need_data
 def test_identify_table(spark, model):
     d = pairs(spark, [(1, None, ""), (2, "The committee supports the proposal before summer.", "x" * 30000)])
     got = languages.identify(d, model).collect()
-    assert [(r.pair_id, r.field, r.lang) for r in got if r.field == "source_segment"] == [(2, "source_segment", "en")]
+    assert [(r.pair_id, r.field, r.lang) for r in got] == [(2, "source_segment", "en"), (2, "target_segment", "und")]
     assert languages.identify(pairs(spark, []), model).count() == 0
 
 
