@@ -124,12 +124,29 @@ class CopyLedger:
         self.version += 1
         place = f"v{self.version}-{uuid.uuid4().hex[:8]}"
         n = min(self.n_buckets, max(1, len(touched)))
-        merged.repartition(n, "bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{place}")
+        # a bucket is one task's, and tasks get as many buckets each
+        merged.repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int")).write.partitionBy("bucket").parquet(f"{self.path}/data/{place}")
         self.places |= {b: place for b in touched}
         self.batches.append(batch_id)
         self._publish()
+        self._clean()
         return True
 
+    def _clean(self) -> None:
+        """Deletes manifests but the last two, and data that neither of them names: readers of the version before go on."""
+        root = self._hpath(f"{self.path}/manifest")
+        versions = sorted(int(s.getPath().getName()) for s in self._fs.listStatus(root) if s.getPath().getName().isdigit())
+        for v in versions[:-2]:
+            self._fs.delete(self._hpath(f"{self.path}/manifest/{v}"), True)
+        named = set()
+        for v in versions[-2:]:
+            text = self.spark.read.text(f"{self.path}/manifest/{v}", wholetext=True).first()[0]
+            named |= set(json.loads(text)["places"].values())
+        for s in self._fs.listStatus(self._hpath(f"{self.path}/data")):
+            name = s.getPath().getName()
+            if name not in named and int(name[1:].split("-")[0]) < versions[-1]:
+                self._fs.delete(s.getPath(), True)
+
 
 def copy_links(keyed: DataFrame, ledger: DataFrame, row_id: str = "pair_id", key: str = "copy_key", hot_share: float = 0.001) -> DataFrame:
     """One row (first_id, row_id) for every record but the first of its group of copies.

@@ -22,7 +22,8 @@ def mix_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None =
 
     chosen: row_id, source, n_tokens, repeats (at least 1). report: one row per listed source with its share asked for
     (normalised over the positive shares), tokens and documents there are, copies expected per document, tokens chosen
-    and actual share. total_tokens: size of the mixture, by default the tokens of all documents of sources with a
+    and actual share, and attainable_tokens, the largest size of a mixture in which every source with documents gets its
+    share within its cap (given as total_tokens, all shares hold). total_tokens: size of the mixture, by default the tokens of all documents of sources with a
     positive share. A source that its cap keeps below its share stays below; the others don't grow in its place.
     Shares null or below 0 count as 0, max_repeats null as 1; of a source listed twice the larger share holds.
     Documents of unlisted or no source and documents without tokens are not chosen (empty ones can't change a share).
@@ -52,6 +53,10 @@ def mix_sources(sized: DataFrame, targets: DataFrame, total_tokens: int | None =
     chosen = materialise(rows.withColumn("repeats", (upto - since).cast("int")).filter("repeats > 0").select("row_id", "source", "n_tokens", "repeats"), "mix-chosen")
     got = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens_chosen"), F.max("repeats").alias("most_repeats"))
     report = plan.drop("offset").join(got, "source", "left").na.fill(0, ["tokens_chosen", "most_repeats"])
+    held = F.when((F.col("asked_share") > 0) & (F.col("tokens_there") > 0), F.col("max_repeats") * F.col("tokens_there") / F.col("asked_share"))
+    with_docs = F.sum(F.when(F.col("tokens_there") > 0, F.col("target_share")).otherwise(0.0)).over(Window.partitionBy())
+    report = report.withColumn("asked_share", F.when(F.col("tokens_there") > 0, F.col("target_share") / with_docs))
+    report = report.withColumn("attainable_tokens", F.coalesce(F.floor(F.min(held).over(Window.partitionBy())), F.lit(0))).drop("asked_share")
     report = report.withColumn("actual_share", F.col("tokens_chosen") / F.greatest(F.sum("tokens_chosen").over(Window.partitionBy()), F.lit(1)))
     return chosen.withColumnRenamed("row_id", row_id), report
 

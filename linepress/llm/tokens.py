@@ -27,6 +27,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Words remembered per worker; beyond it the memory is emptied and filled anew (results don't depend on it).
 WORDS_KEPT = 400_000
 LONGEST_KEPT = 64
+#: Decided pairs remembered per worker; beyond it the memory is emptied (results don't depend on it).
+PAIRS_KEPT = 1_000_000
 
 
 class Encoder:
@@ -95,6 +97,9 @@ class Encoder:
         new = np.setdiff1d(keys, self.known)
         if new.size:
             ok = np.fromiter((self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b] for a, b in zip((new // self.size).tolist(), (new % self.size).tolist())), bool, new.size)
+            if self.known.size + new.size > PAIRS_KEPT:
+                now = np.isin(self.known, keys, assume_unique=True)
+                self.known, self.fits = self.known[now], self.fits[now]
             k, f = np.concatenate([self.known, new]), np.concatenate([self.fits, ok])
             order = np.argsort(k)
             self.known, self.fits = k[order], f[order]

@@ -80,6 +80,15 @@ def test_ledger_is_idempotent_and_keeps_other_buckets(spark, tmp_path):
     assert rows(again.read(), "copy_key", "n_copies", "first_id") == rows(one.read(), "copy_key", "n_copies", "first_id")
 
 
+def test_ledger_keeps_two_versions(spark, tmp_path):
+    d = copies.with_pair_key(pairs(spark, COPIES), "source_segment", "target_segment")
+    ledger = copies.CopyLedger(spark, str(tmp_path / "l"), 2)
+    for i in range(4):
+        ledger.apply(d.filter(F.col("pair_id") % 4 == i), str(i))
+    assert sorted(os.listdir(tmp_path / "l" / "manifest"))[-2:] == ["3", "4"] and len([x for x in os.listdir(tmp_path / "l" / "data") if x[0] == "v"]) <= 3
+    assert ledger.read().agg(F.sum("n_copies")).first()[0] == d.filter("copy_key IS NOT NULL").count()
+
+
 def test_copies_of_nothing(spark):
     keyed, ledger = copies.collapse_copies(spark, pairs(spark, []))
     assert copies.copy_links(keyed, ledger).count() == 0
@@ -204,6 +213,31 @@ def test_correct_text_is_left_alone(spark, restorer):
     assert [t for t in texts if restorer.restore(t)[1]] == []
 
 
+#: Texts in languages that no dictionary is of.
+OTHER_LANGUAGES = [
+    "Zażółć gęślą jaźń, bo wieczorem przyjdzie śnieg", "Příliš žluťoučký kůň úpěl ďábelské ódy", "Türkçe ağaç gölgesinde çocuklar şarkı söylüyor", "Árvíztűrő tükörfúrógép működik a műhelyben",
+    "Mâine dimineață mergem împreună la piață și școală", "Η γρήγορη αλεπού πηδά πάνω από τον σκύλο", "Щойно їжак з'їв яблуко, він пішов до лісу", "Ąžuolas auga prie kelio, žmonės jį mėgsta", "Šodien ir ļoti auksts, bet rīt būs siltāks",
+    "Četiri žute ruže cvjetaju pokraj kuće", "Утре ще отидем на пазара с приятели", "Tiếng Việt có nhiều dấu thanh khác nhau", "Hyvää yötä, näemme jälleen huomenna", "Það er alltaf gott að búa við sjóinn",
+]
+
+
+@need_data
+@pytest.mark.parametrize("text", OTHER_LANGUAGES)
+def test_other_languages_are_restored_or_untouched(restorer, text):
+    assert restorer.restore(text) == (text, "")
+    shown = lambda raw, e: "".join(encodings._byte_to_char(e)[b] for b in raw)
+    bad = [shown(text.encode(), e) for e in encodings.SHOWN_AS]
+    bad += [shown(shown(text.encode(), "cp1252").encode(), "cp1252")]
+    for e, really in encodings.MISREAD:
+        try:
+            bad.append(shown(text.encode(really), e))
+        except UnicodeEncodeError:
+            continue
+    got = [restorer.restore(b)[0] for b in bad]
+    assert all(g in (text, b) for g, b in zip(got, bad))
+    assert sum(g == text for g in got[:8]) >= 7  # two encodings may give two clean readings; then it is left
+
+
 @need_data
 def test_restored_table(spark):
     d = pairs(spark, [(1, None, ""), (2, "cafÃ© fermÃ©", "plain"), (3, "x" * 30000 + " Ã©tÃ©", "y")])
@@ -344,11 +378,34 @@ def found_pairs(d):
 def test_lookalikes_by_hand(spark):
     got = found_pairs(pairs(spark, ALIKE))
     assert got == plain_pairs(ALIKE)
+    links = lookalikes.linked_pairs(lookalikes.lookalike_records(pairs(spark, ALIKE)))
+    assert rows(links, "row_id_a", "row_id_b") == got
+    n = {r.row_id: r.n_links for r in lookalikes.lookalike_records(pairs(spark, ALIKE)).collect()}
+    assert n == {i: sum(i in p for p in got) for i in n} and set(n) == {i for p in got for i in p}
     canon = {r.row_id: r.canon_src for r in lookalikes.canonical_form(pairs(spark, ALIKE)).collect()}
+    assert canon[13] == canon[14] and canon[19] == canon[20]
     assert len({canon[i] for i in (1, 2, 3, 4, 5, 9)}) == 1 and canon[6] == "cafe one" and len(canon) == len(ALIKE)
     assert found_pairs(pairs(spark, [])) == []
 
 
+def test_more_lookalikes(spark):
+    """Compatibility characters of several letters and accents beyond Latin, and one form for texts that nothing looks like."""
+    data = [(1, "Ⅱ ㎞ ⑽", "が"), (2, "II km (10)", "か\u3099"), (3, "ﾊﾟ", "x"), (4, "パ", "x"), (5, "ａlone\u00a0here e\u0301", None), (6, "´", "a"), (7, " \u0301", "a")]
+    d = pairs(spark, data)
+    assert found_pairs(d) == [(1, 2), (3, 4)]
+    canon = {r.row_id: (r.canon_src, r.canon_tgt) for r in lookalikes.canonical_form(d).collect()}
+    assert canon[1] == canon[2] and canon[3] == canon[4] and canon[5] == ("alone here é", "")
+
+
+def test_a_large_class_is_split(spark, monkeypatch):
+    monkeypatch.setattr(lookalikes, "SPLIT", 7)
+    data = [(i, "a" if i % 2 else "а", "same") for i in range(60)] + [(100 + i, "b", "c") for i in range(30)]
+    r = lookalikes.lookalike_records(pairs(spark, data))
+    got = rows(lookalikes.linked_pairs(r), "row_id_a", "row_id_b")
+    assert got == sorted((a, b) for a in range(60) for b in range(a + 1, 60) if a % 2 != b % 2)
+    assert {x.n_links for x in r.collect()} == {30}
+
+
 @need_data
 def test_lookalikes_against_brute_force(spark):
     data = [(r.pair_id, r.source_segment, r.target_segment) for r in read(spark, "bifixer").collect()]
