@@ -5,6 +5,10 @@ Lengths count code points, as Python's len does. Null stays null unless a functi
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterable
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,19 +100,52 @@ def xxh64_hex(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else xxhash.xxh64_hexdigest(t.encode("utf-8", "surrogatepass")))
 
 
-@F.pandas_udf(StringType())
-def ascii_letters(text: pd.Series) -> pd.Series:
-    """Takes accents off (NFKD without marks); ß, æ, ø, œ, đ, ł and þ are written out (Arrow batches)."""
-    import unicodedata
-
-    spelled = str.maketrans({"ß": "ss", "æ": "ae", "ø": "o", "œ": "oe", "đ": "d", "ł": "l", "þ": "th", "ð": "d", "Æ": "AE", "Ø": "O", "Œ": "OE"})
-
-    def one(t: str | None) -> str | None:
-        if t is None or t.isascii():
-            return t
-        return "".join(c for c in unicodedata.normalize("NFKD", t.translate(spelled)) if not unicodedata.combining(c))
-
-    return text.map(one)
+# Letters written out that have no decomposition, and the letters of Cyrillic and Greek in Latin.
+SPELLED = {"ß": "ss", "æ": "ae", "ø": "o", "œ": "oe", "đ": "d", "ł": "l", "þ": "th", "ð": "d", "ı": "i", "ħ": "h", "ŧ": "t"}
+CYRILLIC = {"а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia", "ё": "io", "є": "ie", "і": "i", "ї": "yi", "ґ": "g", "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz", "ў": "u"}
+GREEK = {"α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o"}
+
+
+@lru_cache(maxsize=1)
+def ascii_tables() -> tuple[str, str, dict[str, str]]:
+    """(from, to) of a translate, and what letters become that take several: Latin, Greek, Cyrillic, ligatures and width forms.
+
+    By rule: a letter's compatibility decomposition without marks, its base letter written in Latin; capitals as their small
+    letters, with a capital first."""
+    base = SPELLED | CYRILLIC | GREEK
+    base |= {k.upper(): v.title() for k, v in base.items() if len(k.upper()) == 1 and k.upper() not in base}
+    one, long = {}, {}
+    for cp in [*range(0x80, 0x3000), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
+        c = chr(cp)
+        if unicodedata.combining(c):
+            continue
+        n = "".join(base.get(x, x) for x in unicodedata.normalize("NFKD", base.get(c, c)) if not unicodedata.combining(x))
+        if n != c:
+            if len(n) == 1:
+                one[c] = n
+            else:
+                long[c] = n
+    return "".join(one), "".join(one.values()), long
+
+
+def char_class(chars: Iterable[str]) -> str:
+    """A regular expression's class of these characters, by ranges."""
+    out, cps = "", sorted(map(ord, chars))
+    while cps:
+        n = next((i for i in range(1, len(cps)) if cps[i] != cps[0] + i), len(cps))
+        out += f"\\x{{{cps[0]:x}}}" + (f"-\\x{{{cps[n - 1]:x}}}" if n > 1 else "")
+        cps = cps[n:]
+    return f"[{out}]"
+
+
+def ascii_letters(text: Column | str) -> Column:
+    """Letters in Latin without accents; what has no such form stays. Texts in ASCII skip the tables."""
+    x = col(text)
+    source, target, long = ascii_tables()
+    table = F.create_map(*[F.lit(y) for kv in long.items() for y in kv])
+    written = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    wide = F.when(x.rlike(char_class(long)), written).otherwise(x)
+    return F.when(F.char_length(x) == F.octet_length(x), x).otherwise(F.regexp_replace(F.translate(wide, source, target), r"\p{Mn}+", ""))
 
 
 def loose_form(text: Column | str) -> Column:

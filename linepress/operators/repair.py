@@ -19,42 +19,49 @@ CYRILLIC_LANGS = "ab av az ba be bg bs ce cv kk ku kv ky mk mn os ru sr tg tk tt
 CLOSE_UP = [" !", " ?", " :", " ;", " ,", " )", " }", " ]", " ...", " º", "( ", "{ ", "[ ", "¿ ", "¡ "]
 CLOSE_UP_FRENCH = [" ,", " )", " }", " ]", " ...", "( ", "{ ", "[ "]
 CONTRACTIONS = "s|S|t|T|m|M|d|D|re|RE|ll|LL|ve|VE|em|EM"
-HOMOGLYPHS_CYRILLIC = {"А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "y", "Х": "X", "Ь": "b", "а": "a", "е": "e", "к": "k", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "І": "I", "і": "i", "Ј": "J", "ј": "j", "Ѕ": "S", "ѕ": "s"}
-HOMOGLYPHS_GREEK = {"Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v"}
-QUOTES = {"“": '"', "”": '"', "„": '"', "‟": '"', "«": '"', "»": '"', "‘": "'", "’": "'", "‚": "'", "‛": "'", "′": "'", "″": '"', "…": "...", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-"}
+CARON_LANGS = "cs et fi hr ln lt lv sk sl sr yo".split()
+#: Letters of other scripts that become Latin ones in texts of languages without that script.
+FROM_CYRILLIC = {"Ѐ": "È", "Ё": "Ë", "Ѕ": "S", "Ї": "Ï", "І": "I", "Ј": "J", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "y", "Х": "X", "Ь": "b", "ѐ": "è", "ё": "ë", "а": "a", "в": "B", "г": "r", "е": "e", "к": "k", "м": "M", "н": "H", "о": "o", "р": "p", "с": "c", "т": "T", "у": "y", "х": "x", "ь": "b", "ѕ": "s", "і": "i", "ї": "ï", "ј": "j", "Ү": "Y", "Һ": "h", "һ": "h", "Ӏ": "I", "ӏ": "I", "Ӓ": "Ä", "ӓ": "ä", "Ԁ": "d", "ԁ": "d", "Ԛ": "Q", "ԛ": "q", "Ԝ": "W", "ԝ": "w", "Ꙇ": "l", "ꙇ": "l", "Ꚃ": "S", "ꚃ": "S"}
+FROM_GREEK = {"Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "α": "a", "η": "n", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u"}
+FROM_HEBREW = {"׳": "'", "״": '"', "־": "-", "׀": "|", "׃": ":"}
+#: The same for all languages: line ends, ligatures (no long s), modifier letters, a Latin letter or sign shown in Windows-1252.
+LINE_ENDS = {"\u2028": " ", "\n": "", "\r": ""}
+LIGATURES = "ﬀﬁﬂﬃﬄﬆ"
+MODIFIERS = {"ˁ": "¿", "˂": "<", "˃": ">"}
+SHOWN_WRONG = "¿¡µŒœšťŸŽžľ"
+NOT_SHOWN_WRONG = "×÷àí"
+#: Full-width marks of Japanese, from ASCII in Japanese texts and to it in others; beside the ideographic ones.
+FULL_WIDTH = {"{": "｛", "}": "｝", "(": "（", ")": "）", "[": "［", "]": "］", ",": "，", ":": "：", ";": "；", "?": "？", "!": "！", "<": "＜", "=": "＝", ">": "＞", "_": "＿", "'": "｀"}
+IDEOGRAPHIC = {"【": "(", "】": ")", "。": ".", "、": ","}
+CONTROLS = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f\u206a-\u206f\ufeff\ufff9-\ufffc]")
+WIDTHS = re.compile("[\u3000\uff01-\uffef]+")
 #: Matches nowhere.
 NOTHING = "(?!)"
-LINE_ENDS = "\r\n\u000b\u000c\u0085  "
-
 
 @lru_cache(maxsize=32)
 def char_map(lang: str) -> dict[str, str]:
-    """Replacements for one language, made by rule: line ends to a blank, ligatures and full-width forms to their letters
-    (full-width not for Japanese), typographic quotes and dashes to ASCII (German keeps its low opening quote), letters of other scripts with a Latin shape
-    to Latin where the language's script isn't theirs, UTF-8 shown as Windows-1252 to its letter."""
+    """Replacements for one language. Line ends, ligatures and Latin letters shown in Windows-1252 (also with the second byte
+    written out, as in Ã<89>) for all; letters and marks of other scripts to Latin where the language's script isn't theirs;
+    full-width marks to ASCII or, in Japanese, from it."""
     lang = lang.lower()
-    out = {c: " " for c in LINE_ENDS}
-    for c in map(chr, range(0xFB00, 0xFB07)):
-        out[c] = unicodedata.normalize("NFKC", c)
-    for c in map(chr, range(0xC0, 0x180)):
-        try:
-            out[c.encode("utf-8").decode("cp1252")] = c
-        except UnicodeDecodeError:
-            continue
-    out |= QUOTES
-    if lang == "de":
-        del out["„"]
+    out = dict(LINE_ENDS) | {c: unicodedata.normalize("NFKC", c) for c in LIGATURES} | MODIFIERS
+    for c in [*map(chr, range(0xC0, 0x100)), *SHOWN_WRONG]:
+        if c not in NOT_SHOWN_WRONG:
+            try:
+                out[c.encode("utf-8").decode("cp1252")] = c
+            except UnicodeDecodeError:
+                continue
+    for first, seconds in ((0xC3, [*range(0x80, 0x97), *range(0x98, 0xA0), 0xAD]), (0xC4, range(0x80, 0x84))):
+        out |= {f"{chr(first)}<{second:02X}>": bytes([first, second]).decode("utf-8") for second in seconds}
+    if lang not in CARON_LANGS:
+        out |= {"ť": "t'", "ƒ": "f"}
     if lang not in CYRILLIC_LANGS:
-        out |= HOMOGLYPHS_CYRILLIC
+        out |= FROM_CYRILLIC
+    if lang != "de":
+        out |= FROM_HEBREW
     if lang != "el":
-        out |= HOMOGLYPHS_GREEK
-    for cp in range(0xFF01, 0xFF5F):
-        a, b = chr(cp), unicodedata.normalize("NFKC", chr(cp))
-        if lang == "ja":
-            out[b] = a
-        else:
-            out[a] = b
-    return out
+        out |= FROM_GREEK
+    return out | (FULL_WIDTH if lang == "ja" else {b: a for a, b in FULL_WIDTH.items()} | IDEOGRAPHIC)
 
 
 def collapse_blanks(text: Column) -> Column:
@@ -113,6 +120,14 @@ def _mojibake(word: str) -> str:
     return word
 
 
+def _segment(word: str) -> str:
+    """A word with entities and mojibake put right, width forms narrowed, control characters gone, accents composed."""
+    word = _mojibake(html.unescape(word) if "&" in word else word)
+    if word.isascii():
+        return CONTROLS.sub("", word) if not word.isprintable() else word
+    return unicodedata.normalize("NFC", CONTROLS.sub("", WIDTHS.sub(lambda m: unicodedata.normalize("NFKC", m.group()), word)))
+
+
 @lru_cache(maxsize=32)
 def _char_pattern(lang: str) -> re.Pattern:
     table = char_map(lang)
@@ -125,7 +140,7 @@ def _restored(t: str | None, lang: str | None) -> str | None:
     if t is None:
         return None
     table, pattern = char_map(lang or ""), _char_pattern(lang or "")
-    t = html.unescape(" ".join(html.unescape(_mojibake(w)) for w in t.split()))
+    t = html.unescape(" ".join(_segment(w) for w in t.split()))
     return pattern.sub(lambda m: table[m.group()], t)
 
 

@@ -13,7 +13,29 @@ def rows(df, *cols):
 def test_fix_stages(spark):
     d = spark.createDataFrame([(1, "  two  spaces & # 233 ; it''s ( so ) ! "), (2, "cafÃ© ﬁne ａｂ “x”"), (3, ""), (4, None)], "i INT, x STRING")
     got = [r[0] for r in d.orderBy("i").select(repair.fix_text("x", "en")).collect()]
-    assert got == ["two spaces é it's (so)!", 'café fine ab "x"', "", None]
+    assert got == ["two spaces é it's (so)!", "café fine ab “x”", "", None]
+
+
+CHARACTERS = [
+    ("en", "Кот в доме", "KoT B дoMe"), ("ru", "Кот в доме", "Кот в доме"), ("en", "ёжик Їжак", "ëжиk Ïжak"), ("mk", "Ѕ ѐ", "Ѕ ѐ"), ("en", "Αθήνα", "Aθήva"), ("el", "Αθήνα", "Αθήνα"),
+    ("en", "ť ƒ", "t' f"), ("cs", "ť ƒ", "ť ƒ"), ("en", "א׳ ב״ ־ ׀ ׃", "א' ב\" - | :"), ("de", "א׳ ־", "א׳ ־"), ("en", "【a】。、", "(a).,"), ("en", "ａ（１）！", "a(1)!"), ("ja", "a(1)!", "a（1）！"), ("ja", "ａ", "a"),
+    ("en", "Ã<89>t Ä<83>", "Ét ă"), ("en", "ﬁ ﬆ ˂ˁ", "fi st <¿"), ("de", "„x“ – ‘y’", "„x“ – ‘y’"), ("en", "“x” — …", "“x” — …"), ("en", "e\u0301t a\x07b", "ét ab"),
+]
+
+
+def test_characters_by_language(spark):
+    d = spark.createDataFrame([(i, lang, x) for i, (lang, x, _) in enumerate(CHARACTERS)], "i INT, lang STRING, x STRING")
+    got = [r[0] for r in d.orderBy("i").select(repair.restore_text("x", F.col("lang"))).collect()]
+    assert got == [want for _, _, want in CHARACTERS]
+    assert repair.char_map("EN") == repair.char_map("en") and set(repair.FROM_GREEK) <= set(repair.char_map("fr"))
+
+
+def test_letters_in_latin(spark):
+    from linepress.functions import text
+
+    d = spark.createDataFrame([(1, "Straße Ærø Łódź"), (2, "Щука и ёж"), (3, "Ψυχή"), (4, "plain"), (5, "ﬁｘ e\u0301"), (6, None), (7, "")], "i INT, x STRING")
+    got = [r[0] for r in d.orderBy("i").select(text.ascii_letters("x")).collect()]
+    assert got == ["Strasse Aero Lodz", "Shchuka i iozh", "Psukhe", "plain", "fix e", None, ""]
 
 
 def test_french_keeps_high_punctuation(spark):
@@ -104,6 +126,28 @@ def test_zip_pads_and_decontaminates(spark):
     assert rows(align.decontaminate(train, test), "i") == [(1,), (2,)]
 
 
+def test_multiway_meta(spark):
+    lines = spark.createDataFrame([("a", 1, "x"), ("a", 2, " "), ("b", 1, "éé"), ("b", 2, "z")], "lang STRING, line_no INT, text STRING")
+    got = {(r.kind, r.key): r.value for r in stats.multiway_meta(lines, {"a": "f.a", "b": "f.b"}).collect()}
+    assert got == {("files", "a"): "f.a", ("files", "b"): "f.b", ("lang_to_idx", "a:0"): "[0]", ("lang_to_idx", "b:0"): "[0,1]", ("idx_to_lang", "0"): '["a","b"]', ("idx_to_lang", "1"): '["b"]', ("offsets", "f.a:0"): "[0,2]", ("offsets", "f.b:0"): "[0,5]"}
+    with pytest.raises(ValueError):
+        stats.multiway_meta(lines.filter("lang = 'a' OR line_no = 1"), {"a": "f.a", "b": "f.b"})
+
+
+def test_shuffled_is_a_permutation(spark):
+    d = spark.range(200)
+    a, b = [r.id for r in sampling.shuffled(d, ["id"]).collect()], [r.id for r in sampling.shuffled(d.repartition(7), ["id"]).collect()]
+    assert a == b != list(range(200)) and sorted(a) == list(range(200)) and [r.id for r in sampling.shuffled(d, ["id"], "other").collect()] != a
+
+
+def test_size_table_refuses_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(stats, "MAX_LANGUAGES", 2)
+    d = spark.createDataFrame([("en", x, 1) for x in "abc"], "src_lang STRING, tgt_lang STRING, size LONG")
+    with pytest.raises(ValueError):
+        stats.size_table(d)
+    assert stats.size_table(d.filter("tgt_lang <> 'c'")).count() == 1
+
+
 def test_first_of_and_near_groups(spark):
     d = spark.createDataFrame([(1, "Café", "x"), (2, "cafe!", "X"), (3, "other", "y"), (4, None, None)], "i INT, source_segment STRING, target_segment STRING")
     g = {r.n: r for r in dedupe.near_groups(d, "i").filter("n = 2").collect()}
