@@ -79,6 +79,25 @@ def same_lengths(lines: DataFrame, key: str = "lang") -> None:
         raise ValueError(f"files differ in length: {r[0]} and {r[1]} lines")
 
 
+def multiway_meta(lines: DataFrame, files: dict[str, str]) -> DataFrame:
+    """kind, key, value (JSON): the metadata of a multi-way set (lang, line_no from 1, text), of which every language has as many
+    lines, as rows that can be written and looked up at any size: `files` (language to path), `lang_to_idx` (language and
+    chunk of lines: the numbers, from 0, of its non-blank ones), `idx_to_lang` (line: its languages), `offsets` (path and
+    chunk: the byte at which each line starts)."""
+    same_lengths(lines)
+    spark = lines.sparkSession
+    d = lines.withColumn("line_no", F.col("line_no") - 1)
+    row = lambda df, kind, key, value: df.select(F.lit(kind).alias("kind"), key.alias("key"), value.alias("value"))
+    names = row(spark.createDataFrame(sorted(files.items()), "lang STRING, path STRING"), "files", F.col("lang"), F.col("path"))
+    to_idx = row(language_lines(d), "lang_to_idx", F.concat_ws(":", "lang", "chunk"), F.to_json("line_nos"))
+    all_lines = d.select("line_no").distinct().join(lines_by_language(d), "line_no", "left")
+    to_lang = row(all_lines, "idx_to_lang", F.col("line_no").cast("string"), F.to_json(F.coalesce("langs", F.expr("cast(array() as array<string>)"))))
+    at = line_offsets(d, "lang").withColumn("chunk", F.floor(F.col("line_no") / 100_000)).groupBy("lang", "chunk").agg(F.array_sort(F.collect_list("offset")).alias("offsets"))
+    path = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(files.items()) for x in kv]), F.col("lang"))
+    offsets = row(at, "offsets", F.concat_ws(":", path, "chunk"), F.to_json("offsets"))
+    return names.unionByName(to_idx).unionByName(to_lang).unionByName(offsets)
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """df with a count of its rows that is known once an action has run; no extra pass."""
     o = Observation(name)

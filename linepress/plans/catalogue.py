@@ -8,15 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linepress.functions import text as T
 from linepress.operators import align, catalog, dedupe, external, langid, repair, rules, sampling, shards, spans, stats, tags
 from linepress.plans import oracle
 from linepress.plans.pipeline import Commands, run
-from linepress.session import broadcast_if_small, spread
-from linepress.sources import readers
+from linepress.session import broadcast_if_small, fresh_path, spread
+from linepress.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 S, G = "source_segment", "target_segment"
@@ -255,8 +255,10 @@ def query_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paste_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = pairs(spark, sf_dir)
-    return d.select("pair_id", spans.paste_query(F.col(S), F.when(F.pmod("pair_id", F.lit(3)) == 0, F.col(G))).alias("text"))
+    """Each source with its target's query span behind it."""
+    stop = spans.stopword_map(table(spark, sf_dir, "stopwords"))
+    d = spans.with_query_span(pairs(spark, sf_dir), G, F.try_element_at(stop, F.col("tgt_lang")), ["pair_id"])
+    return d.select("pair_id", spans.paste_query(F.col(S), F.col("query")).alias("text"))
 
 
 def langid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,10 +294,13 @@ def resample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.resample_parallel(b, sized(spark, sf_dir).drop("size"), 5000, "temperature", 5.0, True, "r6").groupBy("ds").agg(F.count(F.lit(1)).alias("n"))
 
 
-def resample_mono(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _once(spark, sf_dir).select("ds", "line_no", F.coalesce(S, F.lit("")).alias("text"))
-    ds = sized(spark, sf_dir).select("ds", F.col("src_lang").alias("lang")).filter("lang <> ''")
-    return sampling.resample_mono(b, ds, 5000, "uniform", dataset_method="uniform", seed="r7").select("draw_no", "lang", "ds", "line_no")
+def _resample_mono(method: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        b = _once(spark, sf_dir).select("ds", "line_no", F.coalesce(S, F.lit("")).alias("text"))
+        ds = sized(spark, sf_dir).select("ds", F.col("src_lang").alias("lang")).filter("lang <> ''")
+        return sampling.resample_mono(b, ds, 5000, method, dataset_method=method, seed="r7").select("draw_no", "lang", "ds", "line_no")
+
+    return q
 
 
 def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,6 +345,92 @@ def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(pairs(spark, sf_dir), ["charfix", "biclean", "dedup"], Commands()).select("ds", "line_no")
 
 
+def clean_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven commands in one plan."""
+    c = Commands(words(spark, sf_dir), orthography=table(spark, sf_dir, "orthography"))
+    d = run(pairs(spark, sf_dir), ["charfix", c.bifix(F.col("src_lang"), F.col("tgt_lang")), "biclean", "dedup", "langcheck", "tagprotect", "queries"], c)
+    return d.select("ds", "line_no", S, G, "seg_hash", tags.to_json_repls("repls").alias("repls"), "query")
+
+
+def clean_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """charfix, rules, deduplication and language check in one plan."""
+    return run(pairs(spark, sf_dir), ["charfix", "biclean", "dedup", "langcheck"], Commands(words(spark, sf_dir))).select("ds", "line_no")
+
+
+def extract_sgms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of the English SGM documents zipped with those of the German ones, each in order of documents and lines."""
+    d = doc_lines(spark, sf_dir, "sgm").withColumn("line_no", F.col("doc_id") * 1_000_000 + F.col("line_no"))
+    side = lambda x: d.filter(F.col("lang") == x).select("line_no", "text")
+    return readers.extract_sgms(side("en"), side("de"))
+
+
+def multiway_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata of all pairs as a set of two files."""
+    d = table(spark, sf_dir, "bifixer").select(F.lit("x").alias("one"), "pair_id", F.explode(F.array(F.struct(F.lit("src").alias("lang"), F.col(S).alias("text")), F.struct(F.lit("tgt").alias("lang"), F.col(G).alias("text")))).alias("x"))
+    lines = stats.row_numbers(d.select("x.lang", "pair_id", F.coalesce("x.text", F.lit("")).alias("text")), "lang", "pair_id", "line_no").drop("pair_id")
+    return stats.multiway_meta(lines, {"src": "all.src", "tgt": "all.tgt"})
+
+
+# -- what is written is read again ---------------------------------------------------------------------------------------
+def _one_line(x: str) -> Column:
+    return F.translate(F.coalesce(x, F.lit("")), "\n\r", "  ")
+
+
+def roundtrip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as line files and read again: each file's lines by their number, put in order of files."""
+    path = fresh_path(spark, "lines")
+    writers.write_lines(table(spark, sf_dir, "bifixer").select("pair_id", _one_line(S).alias("text")), path, "text", ["pair_id"])
+    d = readers.read_lines(spark, path)
+    sizes = d.groupBy("file").agg(F.max("line_no").alias("n"))
+    sizes = sizes.select("file", (F.sum("n").over(Window.partitionBy().orderBy("file")) - F.col("n")).alias("before"))
+    return d.join(sizes, "file").select((F.col("before") + F.col("line_no")).alias("line_no"), "text")
+
+
+def roundtrip_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "json")
+    d = table(spark, sf_dir, "bifixer").select("pair_id", "ds", S, G)
+    writers.write_json_lines(d, path)
+    return spark.read.schema(d.schema).json(path)
+
+
+def roundtrip_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "shards")
+    writers.write_shards(shards.assign_shards(_once(spark, sf_dir).select("ds", "line_no"), 1, 10), path)
+    return spark.read.parquet(path).select("ds", "line_no", F.col("shard").cast("int").alias("shard"))
+
+
+def roundtrip_by_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "by")
+    writers.write_by(table(spark, sf_dir, "bifixer").select("pair_id", "ds", S), path, "ds")
+    return spark.read.parquet(path).select("pair_id", "ds", S)
+
+
+def roundtrip_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units written as TMX and extracted for English and German."""
+    path = fresh_path(spark, "tmx")
+    u = table(spark, sf_dir, "tmx_units").filter(F.size("tuv") > 0)
+    clean = F.transform("tuv", lambda v: F.struct(v["lang"].alias("lang"), F.trim(F.regexp_replace(v["seg"], r"\s+", " ")).alias("seg")))
+    writers.write_units(u.select(clean.alias("tuv")), path)
+    return readers.extract_tmx(spark, path, "en", "de").groupBy("source_segment", "target_segment").agg(F.count(F.lit(1)).alias("n"))
+
+
+def roundtrip_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size table as CSV."""
+    path = fresh_path(spark, "csv")
+    writers.write_matrix(size_pivot(spark, sf_dir), path)
+    return spark.read.option("header", "true").schema("src_lang STRING, de DOUBLE, en DOUBLE, fr DOUBLE").csv(path).na.fill("", ["src_lang"])
+
+
+def roundtrip_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as document XML, without the characters XML can't hold, blanks at the ends aside."""
+    path = fresh_path(spark, "xml")
+    d = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    plain = F.regexp_replace("text", r"[^\x20-\x{d7ff}]+", " ")
+    writers.write_doc_xml(d.select(F.col("doc_id").cast("string").alias("_id"), plain.alias("text")), path)
+    got = readers.read_doc_xml(spark, path)
+    return got.select(F.col("_id").cast("long").alias("doc_id"), F.md5(F.trim(F.coalesce(F.regexp_replace("text", r"\s+", " "), F.lit("")))).alias("digest"))
+
+
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
@@ -350,9 +441,10 @@ def queries() -> dict[str, Query]:
         rule_report, rule_verdicts, rule_verdicts_lang, rule_flags, url_lengths, rule_verdicts_urls, charfix, scalar_functions, seg_hashes, rankings, line_counts, size_matrix, size_pivot, language_sizes,
         dedup_exact, dedup_first, dedup_groups, dedup_near, zip_pad, zip_left, decontaminate, extract_units, extract_units_report, extract_tsv, extract_sgm, extract_docs,
         orthography_fix, fix_native, fix_full, tag_protect, tag_roundtrip, tag_counts, query_spans, paste_queries, langid_topk, langid_reliable, langcheck,
-        resample_parallel, resample_counts, resample_mono, shard_assign, shard_replicate, line_offsets, multimeta, catalog_discovery, stopword_table, pipe_docs, clean_pipeline, hourly_events,
+        resample_parallel, resample_counts, shard_assign, shard_replicate, line_offsets, multimeta, catalog_discovery, stopword_table, pipe_docs, clean_pipeline, hourly_events,
+        clean_chain, clean_checked, extract_sgms, multiway_meta, roundtrip_lines, roundtrip_json, roundtrip_shards, roundtrip_by_dataset, roundtrip_units, roundtrip_matrix, roundtrip_docs,
     ]
-    return {f.__name__: f for f in named} | {f"sample_{m}": _probabilities(m) for m in sampling.METHODS}
+    return {f.__name__: f for f in named} | {f"sample_{m}": _probabilities(m) for m in sampling.METHODS} | {f"resample_mono_{m}": _resample_mono(m) for m in ("original", "uniform", "temperature")}
 
 
 def oracle_sql() -> dict[str, str]:

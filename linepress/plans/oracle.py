@@ -6,6 +6,7 @@ title case as two patterns of neighbours.
 
 from __future__ import annotations
 
+from linepress.functions import text as T
 from linepress.operators import repair, rules, spans, tags
 
 ALPHA, UPPER, LOWER, CASED = r"[\p{L}\p{Nl}]", r"\p{Lu}", r"[\p{Ll}ªº\x{2170}-\x{217f}]", r"[\p{Lu}\p{Ll}\p{Lt}ªº\x{2160}-\x{217f}]"
@@ -32,6 +33,15 @@ def fold(x: str) -> str:
     return x
 
 
+def loose(x: str) -> str:
+    """Small letters in Latin without accents, blanks, ASCII punctuation and digits."""
+    source, target, long = T.ascii_tables()
+    table = "MAP {" + ", ".join(f"{q(a)}: {q(b)}" for a, b in long.items()) + "}"
+    x = f"lower(coalesce({x}, ''))"
+    x = f"CASE WHEN regexp_matches({x}, '{T.char_class(long)}') THEN array_to_string(list_transform(string_split({x}, ''), lambda c: coalesce({table}[c], c)), '') ELSE {x} END"
+    return f"regexp_replace(regexp_replace(translate({x}, {q(source)}, {q(target)}), '\\p{{Mn}}+', '', 'g'), '[ [:punct:]0-9]', '', 'g')"
+
+
 def draw(*key: str) -> str:
     return f"('0x' || substr(md5({' || chr(58) || '.join(key)}), 1, 8))::UBIGINT / 4294967296.0"
 
@@ -175,15 +185,27 @@ def resampled(method: str) -> str:
     return f"WITH clean AS ({clean}), d AS ({d}), n AS (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY line_no) o FROM clean) SELECT draw_no, d.ds, line_no FROM d JOIN n ON d.ds = n.ds AND n.o = (k - 1) % size + 1"
 
 
-def resampled_mono() -> str:
+def resampled_mono(method: str) -> str:
+    weight = {"uniform": "1.0", "original": "size::DOUBLE", "temperature": "pow(size::DOUBLE, 0.2)"}[method]
     ds = f"SELECT d.ds, src_lang lang, n AS size FROM ({DATASETS}) d JOIN (SELECT ds, count(*) n FROM once GROUP BY ds) c ON d.ds = c.ds WHERE src_lang <> ''"
-    langs = cumulative(f"SELECT lang, 1.0 / count(*) OVER () prob FROM (SELECT DISTINCT lang FROM ({ds}))", "lang")
-    within = cumulative(f"SELECT lang, ds, size, 1.0 / count(*) OVER (PARTITION BY lang) prob FROM ({ds})", "ds", "lang")
+    langs = cumulative(f"SELECT lang, {weight} / sum({weight}) OVER () prob FROM (SELECT lang, sum(size) size FROM ({ds}) GROUP BY lang)", "lang")
+    within = cumulative(f"SELECT lang, ds, size, {weight} / sum({weight}) OVER (PARTITION BY lang) prob FROM ({ds})", "ds", "lang")
     u = f"SELECT i, {draw(q('r7'), q('lang'), 'i')} u, {draw(q('r7'), q('ds'), 'i')} v FROM range(1, 5001) t(i)"
     d = f"SELECT i draw_no, w.lang, w.ds, size, row_number() OVER (PARTITION BY w.ds ORDER BY i) k FROM ({u}) x JOIN ({langs}) l ON u >= l.lo AND u < l.hi JOIN ({within}) w ON w.lang = l.lang AND v >= w.lo AND v < w.hi"
     return f"WITH once AS ({ONCE}), d AS ({d}), n AS (SELECT ds, line_no, row_number() OVER (PARTITION BY ds ORDER BY line_no) o FROM once) SELECT draw_no, lang, d.ds, line_no FROM d JOIN n ON d.ds = n.ds AND n.o = (k - 1) % size + 1"
 
 
+def protected_pairs(pattern: str, url: str, max_id: int = 5, dropout: float = 0.1) -> str:
+    """Matches of the source replaced one after the other on both sides, by recursion over their number."""
+    kind = f"CASE WHEN regexp_full_match(m, {q(tags.TAG)}) THEN ' [TAG' WHEN regexp_full_match(m, {q(url)}) THEN ' [URL' ELSE ' [EML' END"
+    number = f"CASE WHEN n = 1 THEN floor({draw(q('tags'), q('id'), 'pair_id')} * {max_id})::INT::VARCHAR WHEN i > {max_id} THEN '' ELSE i::VARCHAR END"
+    put = lambda x: f"CASE WHEN strpos({x}, m) > 0 THEN substr({x}, 1, strpos({x}, m) - 1) || repl || substr({x}, strpos({x}, m) + length(m)) ELSE {x} END"
+    found = f"SELECT pair_id, s, g, regexp_extract_all(s, {q(pattern)}) ms FROM ({PAIRS})"
+    one = f"SELECT pair_id, i, m, {kind} || ({number}) || '] ' repl, {draw(q('tags'), 'i', 'pair_id')} >= {dropout} used FROM (SELECT pair_id, len(ms) n, unnest(range(0, len(ms))) i, unnest(ms) m FROM f)"
+    step = f"SELECT w.pair_id, w.i + 1, CASE WHEN used THEN {put('s')} ELSE s END, CASE WHEN used THEN {put('g')} ELSE g END, CASE WHEN used THEN list_append(r, [repl, m]) ELSE r END FROM w JOIN o ON o.pair_id = w.pair_id AND o.i = w.i"
+    return f"WITH RECURSIVE f AS ({found}), o AS MATERIALIZED ({one}), w(pair_id, i, s, g, r) AS (SELECT pair_id, 0::BIGINT, s, g, []::VARCHAR[][] FROM f WHERE len(ms) > 0 UNION ALL {step}) SELECT pair_id, s source_segment, g target_segment, to_json(r)::VARCHAR repls FROM w WHERE i = (SELECT len(ms) FROM f WHERE f.pair_id = w.pair_id) AND len(r) > 0"
+
+
 def sharded(limit: int) -> str:
     sizes = f"SELECT ds, count(*) n FROM ({ONCE}) GROUP BY ds"
     k = f"SELECT ds, n, least(greatest(n // greatest(min(n) OVER (), 1), 1), {limit})::INT n_shards FROM ({sizes})"
@@ -223,6 +245,13 @@ def sql() -> dict[str, str]:
     fixed = PAIRS.replace("coalesce(source_segment, '')", "replace(coalesce(source_segment, ''), chr(13), '')").replace("coalesce(target_segment, '')", "replace(coalesce(target_segment, ''), chr(13), '')")
     url = tags.URL.replace(r"\p{Punct}", "[:punct:]")
     protected = f"{tags.TAG}|{url}|{tags.EMAIL}"
+    one_line = "translate(coalesce(source_segment, ''), chr(10) || chr(13), '  ')"
+    last = lambda lang: f"split_part(trim(regexp_replace(list_filter(tuv, lambda x: x.lang = '{lang}')[-1].seg, '{WS}+', ' ', 'g')), '<', 1)"
+    tmx = lambda lang: CLEAN.format(last(lang))
+    sides = "SELECT pair_id, 'src' lang, coalesce(source_segment, '') t FROM bifixer UNION ALL SELECT pair_id, 'tgt', coalesce(target_segment, '') FROM bifixer"
+    numbered = f"SELECT lang, t, row_number() OVER (PARTITION BY lang ORDER BY pair_id) - 1 i FROM ({sides})"
+    at = "coalesce(sum(strlen(t) + 1) OVER (PARTITION BY lang ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT"
+    meta = f"WITH n AS MATERIALIZED ({numbered}) SELECT 'files' kind, 'src' AS key, 'all.src' AS value UNION ALL SELECT 'files', 'tgt', 'all.tgt' UNION ALL SELECT 'lang_to_idx', lang || ':' || i // 100000, to_json(list(i ORDER BY i))::VARCHAR FROM n WHERE trim(t) <> '' GROUP BY lang, i // 100000 UNION ALL SELECT 'idx_to_lang', i::VARCHAR, to_json(coalesce(list(lang ORDER BY lang) FILTER (WHERE trim(t) <> ''), []))::VARCHAR FROM n GROUP BY i UNION ALL SELECT 'offsets', 'all.' || lang || ':' || i // 100000, to_json(list(o ORDER BY o))::VARCHAR FROM (SELECT lang, i, {at} o FROM n) GROUP BY lang, i // 100000"
     return {
         "rule_report": f"SELECT reason, count(*) n FROM ({verdicts()}) GROUP BY reason",
         "rule_verdicts": v,
@@ -253,13 +282,24 @@ def sql() -> dict[str, str]:
         "tag_roundtrip": f"SELECT doc_id, line_no, regexp_replace(text, {q(WS + '+')}, '', 'g') AS text FROM ({LINES})",
         "tag_counts": f"SELECT doc_id, line_no, n FROM (SELECT doc_id, line_no, {count('text', protected)} n FROM ({LINES})) WHERE n > 0",
         "query_spans": query_span(),
-        "paste_queries": f"SELECT pair_id, {strip('s')} || CASE WHEN pair_id % 3 = 0 AND {strip('g')} <> '' THEN ' ||| ' || {strip('g')} ELSE '' END AS text FROM ({PAIRS})",
+        "paste_queries": f"SELECT p.pair_id, {strip('s')} || CASE WHEN {strip('q.query')} <> '' THEN ' ||| ' || {strip('q.query')} ELSE '' END AS text FROM ({PAIRS}) p JOIN ({query_span()}) q ON q.pair_id = p.pair_id",
+        "tag_protect": protected_pairs(protected, url),
+        "dedup_near": f"SELECT n, best_id, ranking FROM (SELECT count(*) OVER (PARTITION BY h) n, row_number() OVER (PARTITION BY h ORDER BY ranking DESC, pair_id) o, pair_id best_id, ranking FROM (SELECT pair_id, md5({loose('s')} || chr(9) || {loose('g')}) h, {mean} ranking FROM ({PAIRS}))) WHERE o = 1",
+        "clean_checked": f"WITH clean AS (SELECT ds, line_no, pair_id, s, g, src_lang, tgt_lang FROM ({verdicts(fixed, 'ds, line_no, pair_id, s, g, src_lang, tgt_lang')}) WHERE reason = 'keep' QUALIFY row_number() OVER (PARTITION BY s, g ORDER BY ds, line_no) = 1) SELECT p.ds, p.line_no FROM clean p WHERE EXISTS (SELECT 1 FROM ({top('s', 'SELECT * FROM clean')}) x WHERE x.pair_id = p.pair_id AND x.lang = p.src_lang) AND EXISTS (SELECT 1 FROM ({top('g', 'SELECT * FROM clean')}) y WHERE y.pair_id = p.pair_id AND y.lang = p.tgt_lang)",
+        "extract_sgms": f"WITH x AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id, line_no) line_no, {strip('u')} t FROM (SELECT d.lang, l.doc_id, line_no, replace(regexp_replace(t, '<seg id=\"[0-9]+\">', '', 'g'), '</seg>', '') u, t FROM ({sgm}) l JOIN documents d ON d.doc_id = l.doc_id) WHERE t LIKE '<seg id=%' AND t LIKE '%</seg>' AND lang IN ('en', 'de')) SELECT line_no, coalesce(a.t, '') source_segment, coalesce(b.t, '') target_segment FROM (SELECT * FROM x WHERE lang = 'en') a FULL JOIN (SELECT * FROM x WHERE lang = 'de') b USING (line_no)",
+        "multiway_meta": meta,
+        "roundtrip_lines": f"SELECT row_number() OVER (ORDER BY pair_id) line_no, {one_line} AS text FROM bifixer",
+        "roundtrip_json": "SELECT pair_id, ds, source_segment, target_segment FROM bifixer",
+        "roundtrip_shards": f"SELECT ds, line_no, shard FROM ({sharded(10)})",
+        "roundtrip_by_dataset": "SELECT pair_id, ds, source_segment FROM bifixer",
+        "roundtrip_units": f"SELECT source_segment, target_segment, count(*) n FROM (SELECT {tmx('en')} source_segment, {tmx('de')} target_segment FROM tmx_units WHERE len(tuv) > 0) WHERE source_segment <> '' AND target_segment <> '' GROUP BY ALL",
+        "roundtrip_matrix": "SELECT src_lang, " + ", ".join(f"coalesce(sum(size) FILTER (WHERE tgt_lang = '{x}'), 0)::DOUBLE AS {x}" for x in ("de", "en", "fr")) + f" FROM ({SIZED}) WHERE tgt_lang IN ('de', 'en', 'fr') GROUP BY src_lang",
+        "roundtrip_docs": "SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[^\\x20-\\x{d7ff}]+', ' ', 'g'), '\\s+', ' ', 'g'))) digest FROM documents WHERE text IS NOT NULL",
         "langid_topk": f"SELECT pair_id, (r - 1)::INT AS rank, lang FROM ({top('source_segment', 'SELECT pair_id, source_segment FROM bifixer')})",
         "langid_reliable": f"WITH h AS ({top('source_segment', 'SELECT pair_id, source_segment FROM bifixer', 2)}) SELECT detected, reliable, count(*) n FROM (SELECT b.pair_id, a.lang detected, coalesce(a.hits >= 3 AND a.hits >= 2 * coalesce(c.hits, 0), false) reliable FROM bifixer b LEFT JOIN h a ON a.pair_id = b.pair_id AND a.r = 1 LEFT JOIN h c ON c.pair_id = b.pair_id AND c.r = 2) GROUP BY ALL",
         "langcheck": f"SELECT p.pair_id, EXISTS (SELECT 1 FROM ({top('s', PAIRS)}) x WHERE x.pair_id = p.pair_id AND x.lang = p.src_lang) AND EXISTS (SELECT 1 FROM ({top('g', PAIRS)}) y WHERE y.pair_id = p.pair_id AND y.lang = p.tgt_lang) AS lang_ok FROM ({PAIRS}) p",
         "resample_parallel": resampled("uniform"),
         "resample_counts": f"SELECT ds, count(*) n FROM ({resampled('temperature')}) GROUP BY ds",
-        "resample_mono": resampled_mono(),
         "shard_assign": sharded(10),
         "shard_replicate": f"WITH x AS ({sharded(4)}), c AS (SELECT ds, line_no, shard FROM x UNION ALL SELECT ds, line_no, t.c::INT FROM x, range(1, 5) t(c) WHERE t.c > n_shards AND (t.c - n_shards - 1) % n_shards + 1 = shard) SELECT ds, shard, count(*) n, min(line_no) first_line FROM c GROUP BY ds, shard",
         "line_offsets": f'SELECT ds, line_no, coalesce(sum(strlen(coalesce(source_segment, \'\')) + 1) OVER (PARTITION BY ds ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM ({ONCE})',
@@ -269,4 +309,4 @@ def sql() -> dict[str, str]:
         "pipe_docs": "SELECT doc_id, md5(text) digest FROM documents WHERE text IS NOT NULL",
         "clean_pipeline": f"SELECT ds, line_no FROM ({verdicts(fixed, 'ds, line_no, s, g')}) WHERE reason = 'keep' QUALIFY row_number() OVER (PARTITION BY s, g ORDER BY ds, line_no) = 1",
         "hourly_events": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) n FROM events GROUP BY ALL",
-    } | {f"sample_{m}": f"SELECT ds, round(prob, 9) prob FROM ({distribution(m)})" for m in ("original", "uniform", "temperature")}
+    } | {f"sample_{m}": f"SELECT ds, round(prob, 9) prob FROM ({distribution(m)})" for m in ("original", "uniform", "temperature")} | {f"resample_mono_{m}": resampled_mono(m) for m in ("original", "uniform", "temperature")}

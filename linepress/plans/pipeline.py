@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linepress.functions.text import charfix
@@ -31,7 +31,7 @@ class Commands:
     def charfix(self, d: DataFrame) -> DataFrame:
         return d.withColumn(SOURCE, charfix(SOURCE)).withColumn(TARGET, charfix(TARGET))
 
-    def bifix(self, source_lang: str, target_lang: str, **options) -> Step:
+    def bifix(self, source_lang: str | Column, target_lang: str | Column, **options) -> Step:
         return lambda d: repair.fix_pairs(d, SOURCE, TARGET, source_lang, target_lang, **{"orthography": self.orthography, **options})
 
     def biclean(self, d: DataFrame, detected: rules.Detected | None = None, minimal_length: bool = True) -> DataFrame:

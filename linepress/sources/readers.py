@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linepress.functions.text import col, delete_chars, EXTRACTOR_CHARS, fix_extracted, strip
+from linepress.functions.text import EXTRACTOR_CHARS, col, delete_chars, fix_extracted, strip
+from linepress.operators.align import zip_lines
+from linepress.operators.stats import row_numbers
 
 TMX_SCHEMA = "`tuv` ARRAY<STRUCT<`_xml:lang`: STRING, `seg`: STRING>>"
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, line_no (from 1 within the file), text; records end at \\n only, invalid UTF-8 becomes U+FFFD.
+def read_lines(spark: SparkSession, paths: str | list[str], below: str | None = None) -> DataFrame:
+    """file, line_no (from 1 within the file), text; records end at \\n only, invalid UTF-8 becomes U+FFFD. below: a glob of
+    file names, taken from the whole tree below paths.
 
     Line numbers come from the order of rows within each split of a file: splits are numbered by their offset, counted,
     and summed, so nothing is collected and a large file isn't one task.
     """
-    raw = spark.read.option("lineSep", "\n").text(paths)
+    r = spark.read.option("lineSep", "\n")
+    raw = (r.option("recursiveFileLookup", "true").option("pathGlobFilter", below) if below else r).text(paths)
     d = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.make_valid_utf8("value").alias("text"))
     sizes = d.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     sizes = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).drop("n")
@@ -50,6 +54,20 @@ def extract_sgm(lines: DataFrame, text: str = "text") -> DataFrame:
     return lines.filter(x.startswith("<seg id=") & x.endswith("</seg>")).withColumn(text, strip(inner))
 
 
+def extract_sgms(source: DataFrame, target: DataFrame, key: list[str] | None = None, text: str = "text") -> DataFrame:
+    """Two SGM files as pairs: line_no and both sides of the segments, zipped by their order; the shorter one is filled up with ''.
+
+    source, target: line_no, text (and key, by which several files are kept apart).
+    """
+    key = key or []
+
+    def numbered(d: DataFrame) -> DataFrame:
+        d = extract_sgm(d, text).withColumn("__one", F.concat_ws("\u0001", *key) if key else F.lit(""))
+        return row_numbers(d, "__one", "line_no", "__n").select(*key, F.col("__n").alias("line_no"), F.col(text).alias("text"))
+
+    return zip_lines(numbered(source), numbered(target), key=[*key, "line_no"])
+
+
 def pick_translation(tuv: Column, lang: Column, lang_field: str = "lang") -> Column:
     """The segment of the last variant in exactly this language: text before inner markup, cleaned, newlines to spaces."""
     v = F.try_element_at(F.filter(tuv, lambda x: x[lang_field] == lang), F.lit(-1))
@@ -93,17 +111,16 @@ def doc_texts(text: Column | str, tag: str = "doc") -> Column:
 
 
 def read_replacements(spark: SparkSession, path: str) -> DataFrame:
-    """wrong, correct of a TSV dictionary: both stripped, further columns ignored, the last entry of a word wins."""
-    d = read_lines(spark, path).withColumn("c", F.split("text", "\t", -1)).filter(F.size("c") >= 2)
-    d = d.select(strip(F.col("c")[0]).alias("wrong"), strip(F.col("c")[1]).alias("correct"), "line_no")
-    return d.groupBy("wrong").agg(F.max_by("correct", "line_no").alias("correct"))
-
-
-def read_replacements(spark: SparkSession, folder: str) -> DataFrame:
-    """lang, wrong, correct of all files replacements.xx below folder: two columns with a tab between; other lines are skipped."""
-    d = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "replacements.*").text(folder)
-    d = d.select(F.regexp_extract("_metadata.file_name", r"replacements\.([a-z]{2})$", 1).alias("lang"), F.split("value", "\t").alias("f"))
-    return d.filter((F.col("lang") != "") & (F.size("f") > 1)).select("lang", strip(F.col("f")[0]).alias("wrong"), strip(F.col("f")[1]).alias("correct"))
+    """lang, wrong, correct of a TSV dictionary, or of all files replacements.xx below a folder: both columns stripped, further
+    ones ignored, the last entry of a word wins; lang is '' for a file that doesn't name it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        d = read_lines(spark, path, "replacements.*")
+    else:
+        d = read_lines(spark, path)
+    d = d.withColumn("lang", F.regexp_extract("file", r"replacements\.([a-z]{2})$", 1)).withColumn("c", F.split("text", "\t", -1)).filter(F.size("c") >= 2)
+    d = d.select("lang", strip(F.col("c")[0]).alias("wrong"), strip(F.col("c")[1]).alias("correct"), "line_no")
+    return d.groupBy("lang", "wrong").agg(F.max_by("correct", "line_no").alias("correct"))
 
 
 def read_stopwords(spark: SparkSession, folder: str) -> DataFrame:

@@ -42,6 +42,12 @@ def write_by(df: DataFrame, path: str, key: str, mode: str = "error") -> None:
     df.repartition(key).write.mode(mode).partitionBy(key).parquet(path)
 
 
+def write_units(units: DataFrame, path: str, mode: str = "error") -> None:
+    """Translation units (tuv: array of lang, seg) as TMX."""
+    tuv = F.transform("tuv", lambda v: F.struct(v["lang"].alias("_xml:lang"), v["seg"].alias("seg")))
+    units.select(tuv.alias("tuv")).write.mode(mode).format("xml").option("validateName", "false").option("rootTag", "tmx").option("rowTag", "tu").save(path)
+
+
 def write_doc_xml(docs: DataFrame, path: str, mode: str = "error", root: str = "docs", tag: str = "doc") -> None:
     """Document elements whose text starts on a line of its own."""
     d = docs.withColumn("_VALUE", F.concat(F.lit("\n"), "text")).drop("text")

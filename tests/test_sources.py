@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from linepress.operators import catalog
 from linepress.plans.pipeline import Commands, run
-from linepress.sources import readers, remote, writers
+from linepress.sources import readers, remote, tagfiles, writers
 from linepress.streaming import lines as streams
 
 
@@ -60,6 +60,18 @@ def test_sgm_and_tsv(spark):
     assert rows(readers.extract_tsv(d, 0, 2), "source_segment", "target_segment") == [("x", "z")]
 
 
+def test_tag_files(spark, tmp_path):
+    lines = ["see <b>this</b> now", "", "plain", "at http://a.org/x today", "two <i>x</i> <i>x</i>"]
+    (tmp_path / "in").write_text("".join(f"{x}\n" for x in lines))
+    p = lambda n: str(tmp_path / n)
+    tagfiles.extract_tags_file(spark, p("in"), p("text"), p("tags"))
+    bare = {r.line_no: r.text for r in spark.read.schema("line_no LONG, text STRING").json(p("text")).collect()}
+    assert "<" not in "".join(bare.values()) and "http" not in "".join(bare.values()) and set(bare) == {1, 2, 3, 4, 5}
+    tagfiles.reinsert_tags_file(spark, p("text"), p("tags"), p("out"))
+    squeezed = lambda x: x.replace(" ", "")
+    assert [squeezed(r[0]) for r in spark.read.text(p("out")).collect()] == [squeezed(x) for x in lines]
+
+
 def test_doc_xml_round_trip(spark, tmp_path):
     d = spark.createDataFrame([("1", "a\nb"), ("2", "c")], "_id STRING, text STRING")
     writers.write_doc_xml(d, str(tmp_path / "x"))
@@ -70,6 +82,9 @@ def test_doc_xml_round_trip(spark, tmp_path):
 def test_lexicons(spark, tmp_path):
     (tmp_path / "r.tsv").write_text("teh\tthe\tnote\nteh\tThe\nshort\n")
     assert rows(readers.read_replacements(spark, str(tmp_path / "r.tsv")), "wrong", "correct") == [("teh", "The")]
+    (tmp_path / "rep").mkdir()
+    (tmp_path / "rep" / "replacements.da").write_text("a\tb\na\t c \n")
+    assert rows(readers.read_replacements(spark, str(tmp_path / "rep")), "lang", "wrong", "correct") == [("da", "a", "c")]
     s = tmp_path / "stop" / "deep"
     s.mkdir(parents=True)
     (s / "en.txt").write_text("the\n# no\n\nand\nthe\n")
