@@ -5,6 +5,7 @@ Lengths count code points, as Python's len does. Null stays null unless a functi
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
@@ -128,6 +129,11 @@ def ascii_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(one.values()), long
 
 
+def literal_map(table: dict[str, str]) -> Column:
+    """table as one literal of the plan: parsed once, when the query is planned."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
 def char_class(chars: Iterable[str]) -> str:
     """A regular expression's class of these characters, by ranges."""
     out, cps = "", sorted(map(ord, chars))
@@ -142,8 +148,7 @@ def ascii_letters(text: Column | str) -> Column:
     """Letters in Latin without accents; what has no such form stays. Texts in ASCII skip the tables."""
     x = col(text)
     source, target, long = ascii_tables()
-    table = F.create_map(*[F.lit(y) for kv in long.items() for y in kv])
-    written = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    written = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(literal_map(long), c), c)), "")
     wide = F.when(x.rlike(char_class(long)), written).otherwise(x)
     return F.when(F.char_length(x) == F.octet_length(x), x).otherwise(F.regexp_replace(F.translate(wide, source, target), r"\p{Mn}+", ""))
 
