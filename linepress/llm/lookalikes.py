@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from linepress.functions.text import literal_map
 from linepress.session import materialise
 
 #: Letters of other scripts with the shape of a Latin letter (Cyrillic, Greek, Armenian, phonetic, Roman numeral).
@@ -48,16 +49,6 @@ def written_out() -> dict[str, str]:
     return out
 
 
-def _class_of(chars: str) -> str:
-    """A regular expression's class of these characters, by ranges."""
-    out, cps = "", sorted(map(ord, chars))
-    while cps:
-        n = next((i for i in range(1, len(cps)) if cps[i] != cps[0] + i), len(cps))
-        out += f"\\x{{{cps[0]:x}}}" + (f"-\\x{{{cps[n - 1]:x}}}" if n > 1 else "")
-        cps = cps[n:]
-    return f"[{out}]"
-
-
 @lru_cache(maxsize=1)
 def mapping() -> tuple[str, str]:
     """The arguments of translate: from, to. Characters without a partner in to are deleted.
@@ -108,17 +99,37 @@ def _plain(x: Column) -> Column:
     return F.char_length(x) == F.octet_length(x)
 
 
+#: Private characters that stand for those of written_out() between the two steps of with_look.
+STAND_IN = 0xF000
+
+
+@lru_cache(maxsize=1)
+def _steps() -> tuple[str, str, dict[str, str]]:
+    """(from, to) of one translate that maps single letters and gives those of several letters a stand-in, and what each stand-in becomes."""
+    source, target = mapping()
+    table = {ord(a): (target[i] if i < len(target) else None) for i, a in enumerate(source)}
+    long = list(written_out().items())
+    stand_in = "".join(chr(STAND_IN + i) for i in range(len(long)))
+    kept = len(target)
+    return source[:kept] + "".join(c for c, _ in long) + source[kept:], target + stand_in, {chr(STAND_IN + i): t.translate(table) for i, (_, t) in enumerate(long)}
+
+
 def with_look(df: DataFrame, text: str, look: str, base: str) -> DataFrame:
     """Adds look (text with look-alikes mapped; '' for null; accents, case, digits, number of blanks and punctuation stay)
     and base (equal for all texts that the collation finds equal: look without any mark). Each step is a column of its
     own so that it is computed once; texts in ASCII skip the tables.
+
+    One translate maps all; a text that got a stand-in for several letters is gone through once more. The few texts that hold
+    such private characters themselves have the several letters written out first.
     """
     x = F.coalesce(F.col(text), F.lit(""))
-    long = F.create_map(*[F.lit(y) for kv in written_out().items() for y in kv])
-    wide = F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(long, c), c)), "")
-    d = df.withColumn("__w", F.when(~_plain(x) & x.rlike(_class_of("".join(written_out()))), wide).otherwise(x))
-    w = F.col("__w")
-    d = d.withColumn(look, F.when(_plain(w) & ~w.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), w).otherwise(F.translate(w, *mapping()))).drop("__w")
+    source, target, long = _steps()
+    letters = lambda t, table: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(literal_map(table), c), c)), "")
+    private = f"[\\x{{{STAND_IN:x}}}-\\x{{{STAND_IN + len(long) - 1:x}}}]"
+    one = F.when(_plain(x) & ~x.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), x).when(x.rlike(private), F.translate(letters(x, written_out()), *mapping())).otherwise(F.translate(x, source, target))
+    d = df.withColumn("__w", F.struct(one.alias("t"), x.rlike(private).alias("own")))
+    w = F.col("__w.t")
+    d = d.withColumn(look, F.when(~_plain(w) & ~F.col("__w.own") & w.rlike(private), letters(w, long)).otherwise(w)).drop("__w")
     m = F.col(look)
     return d.withColumn(base, F.when(_plain(m), m).otherwise(F.regexp_replace(F.translate(m, *bases()), r"[\p{M}\p{Cf}ᄀ-ᇿ가-퟿]+", "")))
 

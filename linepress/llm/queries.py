@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linepress.functions.text import char_class
 from linepress.llm import copies, encodings, languages, lookalikes, mixing, personal, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +48,7 @@ _KEY = _folded()
 def _written(x: str) -> str:
     """Compatibility characters of several letters written out."""
     table = "MAP {" + ", ".join(f"'{c}': '" + t.replace("'", "''") + "'" for c, t in lookalikes.written_out().items()) + "}"
-    return f"CASE WHEN regexp_matches({x}, '{lookalikes._class_of(''.join(lookalikes.written_out()))}') THEN array_to_string(list_transform(string_split({x}, ''), lambda c: coalesce({table}[c], c)), '') ELSE {x} END"
+    return f"CASE WHEN regexp_matches({x}, '{char_class(lookalikes.written_out())}') THEN array_to_string(list_transform(string_split({x}, ''), lambda c: coalesce({table}[c], c)), '') ELSE {x} END"
 
 
 def _normal(x: str) -> str:
