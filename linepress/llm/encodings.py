@@ -304,11 +304,12 @@ def restored_segments(pairs: DataFrame, samples: DataFrame, source: str = "sourc
         r = Restorer(shared.value)
         for b in batches:
             got = [r.restore(t) for t in b["text"]]
-            keep = [bool(c) for _, c in got]
-            out = b.loc[keep, ["row_id", "field"]].copy()
-            out["restored"] = [t for t, c in got if c]
-            out["chain"] = [c for _, c in got if c]
-            yield out
+            keep = [k for k, (_, c) in enumerate(got) if c]
+            if keep:  # strings of an empty selection have no chunk, which Spark can't send back
+                out = b[["row_id", "field"]].iloc[keep].reset_index(drop=True)
+                out["restored"] = [got[k][0] for k in keep]
+                out["chain"] = [got[k][1] for k in keep]
+                yield out
 
     kind = dict(pairs.dtypes)[row_id]
     return segs.mapInPandas(run, f"row_id {kind}, field STRING, restored STRING, chain STRING").withColumnRenamed("row_id", row_id)

@@ -238,6 +238,15 @@ def test_other_languages_are_restored_or_untouched(restorer, text):
     assert sum(g == text for g in got[:8]) >= 7  # two encodings may give two clean readings; then it is left
 
 
+@need_data
+def test_batches_without_a_case(spark):
+    """A batch of which nothing is restored gives no row, and no error."""
+    d = pairs(spark, [(k, "Ça va très bien.", None) for k in range(20)])
+    got = encodings.restored_segments(d.unionByName(pairs(spark, [(20, "cafÃ© fermÃ©", None)])), read(spark, "lang_samples"))
+    assert rows(got, "pair_id", "restored") == [(20, "café fermé")]
+    assert encodings.restored_segments(d, read(spark, "lang_samples")).count() == 0
+
+
 @need_data
 def test_restored_table(spark):
     d = pairs(spark, [(1, None, ""), (2, "cafÃ© fermÃ©", "plain"), (3, "x" * 30000 + " Ã©tÃ©", "y")])
