@@ -41,8 +41,8 @@ EVIDENCE_PER_CHAR, MOST_EVIDENCE = 2, 6
 GAIN_PER_CHAR = 0.25
 #: Description length, in bytes, of each different character that no text of the nine languages uses.
 UNUSUAL_COST = 6
-#: Bound of the sample that the dictionaries are built from, in sentences per language.
-SENTENCES_PER_LANGUAGE = 200
+#: Bytes of sample text in one dictionary, about: zstandard leaves out what lies beyond its window, so a language with more has several.
+DICTIONARY_BYTES = 1 << 19
 
 #: Share of the words (of three letters or more) of a single-byte reading that the dictionaries must know.
 KNOWN_SHARE = 0.1
@@ -175,6 +175,20 @@ _CLASH = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿａ-ｚＡ-Ｚ][А-яЁё]|[А-яЁ
 _CYRILLIC_WORD = re.compile(r"[А-яЁё]{2,}")
 
 
+def _pieces(sentences: list[str]) -> Iterator[bytes]:
+    """All sentences, in texts of about DICTIONARY_BYTES."""
+    got, n = [], 0
+    for s in sentences:
+        raw = s.encode("utf-8", "surrogatepass")
+        if got and n + len(raw) > DICTIONARY_BYTES:
+            yield b"\n".join(got)
+            got, n = [], 0
+        got.append(raw)
+        n += len(raw) + 1
+    if got:
+        yield b"\n".join(got)
+
+
 class Restorer:
     """Holds the dictionaries of one worker."""
 
@@ -182,8 +196,7 @@ class Restorer:
         import zstandard
 
         self.packers = []
-        for lang in sorted(sentences):
-            text = "\n".join(sentences[lang]).encode()
+        for text in (t for lang in sorted(sentences) for t in _pieces(sentences[lang])):
             d = zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=3)
             self.packers.append(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
@@ -278,18 +291,15 @@ class Restorer:
         return best, candidates[best][0] or ("lost" if lost else "")
 
 
-def restored_segments(pairs: DataFrame, samples: DataFrame, source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id", per_language: int = SENTENCES_PER_LANGUAGE) -> DataFrame:
+def restored_segments(pairs: DataFrame, samples: DataFrame, source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id") -> DataFrame:
     """row_id, field, restored, chain of every segment that holds wrongly decoded text.
 
     chain names the steps undone; 'lost' where replacement characters show that bytes are gone for good and nothing else
     can be put right. Null and empty segments, segments in ASCII and rows without an id are no cases; a row that comes twice is found twice. samples (lang, text) gives the
-    dictionaries: per_language sentences each, in order of text, so that the bound doesn't depend on the corpus.
+    dictionaries: all its sentences, in order of text; the table is fixed and doesn't grow with the corpus.
     Extra columns are ignored. Narrow but for reading the samples.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("lang").orderBy("text")
-    rows = samples.filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("n", F.row_number().over(w)).filter(F.col("n") <= per_language).select("lang", "text").collect()
+    rows = samples.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").collect()
     sentences: dict[str, list[str]] = defaultdict(list)
     for lang, text in sorted(map(tuple, rows)):
         sentences[lang].append(text)

@@ -254,6 +254,20 @@ def test_restored_table(spark):
     assert rows(got, "pair_id", "field", "restored")[0] == (2, "source_segment", "café fermé") and got.count() == 2
 
 
+def test_dictionaries_hold_all_samples(spark):
+    """A sentence that stands last of 301 in its language tells the single-byte reading."""
+    t = "zwei Bären hören schöne Töne über Flüsse"
+    samples = spark.createDataFrame([("de", f"aa {k} nichts") for k in range(300)] + [("de", t)], "lang STRING, text STRING")
+    d = pairs(spark, [(1, t.encode("cp1252").decode("mac_roman"), None)])
+    assert rows(encodings.restored_segments(d, samples), "pair_id", "restored", "chain") == [(1, t, "mac_roman>cp1252")]
+
+
+def test_large_samples_fill_several_dictionaries():
+    sentences = [f"satz {k} " + "x" * 1000 for k in range(1200)]
+    pieces = list(encodings._pieces(sentences))
+    assert len(pieces) == 3 and b"\n".join(pieces).decode().split("\n") == sentences and list(encodings._pieces([])) == []
+
+
 # -- 4 personal information --------------------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def lexicon(spark):
