@@ -1,30 +1,30 @@
 """Names of persons among sequences of words that no lexicon knows: candidates scored by a linear model of form and context.
 
 A candidate is a run of two to four words, particles and initials aside, none of which is an ordinary word. Its features are
-the words and marks around it, the form of its words, and what a bounded sample of the corpus says of them (how often a word
-occurs, how often in lower case). The model is a logistic regression over hashed features, fitted on that sample and on the
-sentences below. In the sample, candidates that a title or a listed given name tells are positive; the rest are unlabelled, as
+the words and marks around it, the form of its words, and what the whole corpus says of them (how often a word occurs, how often
+in lower case). The model is a logistic regression over hashed features, fitted on all candidates of the corpus and on the
+sentences below. In the corpus, candidates that a title or a listed given name tells are positive; the rest are unlabelled, as
 the list of given names isn't complete, so they are fitted in two rounds: first as negative at a low weight, then those that
 the first model finds likely as positive, those it finds unlikely as negative, and those between not at all.
 """
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 
 BUCKETS = 1 << 15
-#: Words of the sample that the model remembers, at most; the most frequent first.
-WORDS_REMEMBERED = 100_000
+#: Words whose codes a worker remembers; beyond it the memory is emptied (results don't depend on it).
+WORDS_KEPT = 200_000
 #: Confidence from which a candidate is a name.
 SURE = 0.3
-#: Weight of an unlabelled candidate of the sample in the first round; what it must score to count as a name or as none in the second.
+#: Weight of an unlabelled candidate of the corpus in the first round; what it must score to count as a name or as none in the second.
 UNLABELLED_WEIGHT, LIKELY, UNLIKELY = 0.2, 0.3, 0.04
 
 #: Words in names of persons that aren't names themselves.
@@ -63,14 +63,47 @@ _INNER_CAPITAL = re.compile(r"(?:[^\W\d_]+['’\-])+[^\W\d_]+$|(?:Mc|Mac|De|Di|L
 _TWO_CAPITALS = re.compile(rf"(?<![\w'’-])[^\W\d_a-zß-öø-ÿа-яё]{_WORD}(?:\.?\s+(?:[^\W\d_]\.\s*|\w{{1,3}}\s+){{0,3}}|,\s?)[^\W\d_a-zß-öø-ÿа-яё]")
 
 
+def word_key(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def word_code(n: int, small: int) -> int:
+    """What the model keeps of a word that occurs in n texts, in small of them in lower case: their ratio, the magnitude of n,
+    and whether it is usually written small."""
+    return 1 + 3 * small // n | min(12, n.bit_length()) << 3 | (small >= 2 and small >= 0.3 * n) << 7
+
+
+class Words:
+    """The words of a corpus by their hashes of 64 bits, nine bytes each; word in words: whether it is usually written small."""
+
+    def __init__(self, keys: np.ndarray = (), codes: np.ndarray = ()):
+        keys, codes = np.asarray(keys, np.int64), np.asarray(codes, np.uint8)
+        order = np.argsort(keys)
+        self.keys, self.codes, self.kept = keys[order], codes[order], {}
+
+    def __reduce__(self):
+        return Words, (self.keys, self.codes)
+
+    def code(self, word: str) -> int:
+        """0 for a word that doesn't occur."""
+        if (c := self.kept.get(word)) is None:
+            if len(self.kept) > WORDS_KEPT:
+                self.kept.clear()
+            key = word_key(word)
+            i = int(np.searchsorted(self.keys, key))
+            c = self.kept[word] = int(self.codes[i]) if i < len(self.keys) and self.keys[i] == key else 0
+        return c
+
+    def __contains__(self, word: str) -> bool:
+        return self.code(word) > 127
+
+
 @dataclass
 class NameModel:
-    """weights of the hashed features; seen: of the words of the sample, how often they occur and how often in lower case;
-    ordinary: words of the sample that are usually written small."""
+    """weights of the hashed features; words: what the corpus says of its words."""
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
-    seen: dict[str, tuple[int, int]] = field(default_factory=dict)
-    ordinary: frozenset[str] = frozenset()
+    words: Words = field(default_factory=Words)
 
     def score(self, features: Iterable[str]) -> float:
         z = float(sum(self.weights[zlib.crc32(f.encode()) % BUCKETS] for f in features))
@@ -147,26 +180,31 @@ def features_of(t: str, first: tuple[int, int], last: tuple[int, int], swapped:
         out += ["body", "body"]
     for name, w in (("a", a), ("b", b)):
         low = w.lower()
-        n, small = model.seen.get(low, (0, 0))
-        out += [f"{name}small={0 if not n else 1 + int(3 * small / n)}", f"{name}case={w[1:].islower()}{w.isupper()}"]
+        code = model.words.code(low)
+        out += [f"{name}small={code & 7}", f"{name}case={w[1:].islower()}{w.isupper()}"]
         if not given and (name == "b") == swapped:
             continue
-        out += [f"{name}s2={low[-2:]}", f"{name}s3={low[-3:]}", f"{name}s4={low[-4:]}", f"{name}p3={low[:3]}", f"{name}n={min(12, n.bit_length())}"]
+        out += [f"{name}s2={low[-2:]}", f"{name}s3={low[-3:]}", f"{name}s4={low[-4:]}", f"{name}p3={low[:3]}", f"{name}n={code >> 3 & 15}"]
     return out
 
 
-def _fit(rows: list[tuple[list[str], float, float]], seed: int, epochs: int = 8, rate: float = 0.25) -> np.ndarray:
-    """Logistic regression over hashed features of rows (features, label, weight), by Adagrad."""
+def buckets(features: Iterable[str]) -> list[int]:
+    return [zlib.crc32(f.encode()) % BUCKETS for f in features]
+
+
+def fit(rows: list[tuple[list[int], float, float]], seed: int = 3, epochs: int = 8, rate: float = 0.25) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic regression over hashed features of rows (buckets, label, weight), by Adagrad: the weights, and how sure they are
+    (the sums of squared gradients)."""
     rng = np.random.default_rng(seed)
     w, g2 = np.zeros(BUCKETS), np.full(BUCKETS, 1e-2)
-    xs = [np.unique([zlib.crc32(f.encode()) % BUCKETS for f in fs]) for fs, _, _ in rows]
+    xs = [np.unique(x) for x, _, _ in rows]
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
             x, (_, y, k) = xs[i], rows[i]
             g = k * (1 / (1 + np.exp(-np.clip(w[x].sum(), -30, 30))) - y) + 1e-4 * w[x]
             g2[x] += g * g
             w[x] -= rate * g / np.sqrt(g2[x])
-    return w.astype(np.float32)
+    return w, g2
 
 
 def _made(rng: random.Random, cyrillic: bool, given: list[str]) -> tuple[str, str]:
@@ -181,37 +219,36 @@ def _made(rng: random.Random, cyrillic: bool, given: list[str]) -> tuple[str, st
     return person, thing
 
 
-def train(sample: list[str], known: set[str], given: set[str], titled, seed: int = 3) -> NameModel:
-    """The model of a sample of segments (as detection reads them). titled(text): spans of the family names that a title tells."""
+def words_of(t: str) -> set[str]:
+    """The words of a text as the corpus counts them, each once; none where capitals tell nothing."""
+    return set(re.findall(_WORD, t)) if is_cased(t) else set()
+
+
+def plain_words(words: Words, known: set[str], given: set[str]):
+    """The test of a word that is no part of a name."""
+    return lambda w: w not in given and (w in known or w in words)
+
+
+def examples(t: str, model: NameModel, plain, given: set[str], titled) -> list[tuple[bool, list[int], list[int]]]:
+    """(told to be a name, buckets, buckets without the letters of the given name) of the candidates in t that are told or
+    overlap with none that is. titled(text): spans of the names that a title tells."""
+    cased = is_cased(t)
+    cs = candidates(t, cased, plain)
+    if not cs:
+        return []
+    told = {b for _, b in titled(t)}
+    taken = [c for c in cs if t[slice(*(c[1] if c[2] else c[0]))].lower() in given or c[1][1] in told]
+    return [
+        (c in taken, *(buckets(features_of(t, *c, cased, model, k)) for k in (True, False)))
+        for c in cs
+        if c in taken or not any(c[0][0] < x[1][1] and x[0][0] < c[1][1] for x in taken)
+    ]
+
+
+def made_examples(model: NameModel, plain, given: set[str], seed: int = 3) -> list[tuple[float, list[int], list[int]]]:
+    """(label, buckets, buckets without the letters of the given name) of the candidates in the labelled sentences."""
     rng = random.Random(seed)
-    seen: Counter[str] = Counter()
-    small: Counter[str] = Counter()
-    texts = [(t, is_cased(t)) for t in sample]
-    for t, cased in texts:
-        if cased:
-            ws = set(re.findall(_WORD, t))
-            seen.update({w.lower() for w in ws})
-            small.update(w for w in ws if w.islower())
-    kept = dict(seen.most_common(WORDS_REMEMBERED))
-    stats = {w: (n, small[w]) for w, n in kept.items()}
-    ordinary = frozenset(w for w, (n, s) in stats.items() if s >= 2 and s >= 0.3 * n)
-    model = NameModel(seen=stats, ordinary=ordinary)
     names = sorted(given)
-    plain = lambda w: w not in given and (w in known or w in ordinary)
-
-    positive, unlabelled = [], []
-    for t, cased in texts:
-        cs = candidates(t, cased, plain)
-        if not cs:
-            continue
-        told = {b for _, b in titled(t)}
-        taken = [c for c in cs if t[slice(*(c[1] if c[2] else c[0]))].lower() in given or c[1][1] in told]
-        for c in cs:
-            fs = features_of(t, *c, cased, model), features_of(t, *c, cased, model, False)
-            if c in taken:
-                positive.append(fs)
-            elif not any(c[0][0] < x[1][1] and x[0][0] < c[1][1] for x in taken):
-                unlabelled.append(fs)
     rows = []
     for lang, (good, bad) in SENTENCES.items():
         cyrillic = lang == "ru"
@@ -223,18 +260,18 @@ def train(sample: list[str], known: set[str], given: set[str], titled, seed: int
                     t = re.sub(r"\{N\}|\{X\}", lambda m: person if m.group() == "{N}" else thing, s)
                     for c in candidates(t, True, plain):
                         whole = t[c[0][0] : c[1][1]]
-                        rows.append((*(features_of(t, *c, True, model, k) for k in (True, False)), 1.0 if y and whole == person else 0.0))
-    # without the letters of given names, which would tell the listed from the others
-    model.weights = _fit([(b, y, 1.0) for _, b, y in rows] + [(b, 1.0, 1.0) for _, b in positive] + [(b, 0.0, UNLABELLED_WEIGHT) for _, b in unlabelled], seed)
-    likely, unlikely = [], []
-    for a, b in unlabelled:
-        p = model.score(b)
-        if p >= LIKELY:
-            likely.append(a)
-        elif p < UNLIKELY:
-            unlikely.append(a)
-    model.weights = _fit([(a, y, 1.0) for a, _, y in rows] + [(a, 1.0, 1.0) for a, _ in positive] + [(a, 1.0, 1.0) for a in likely] + [(a, 0.0, 1.0) for a in unlikely], seed)
-    return model
+                        rows.append((1.0 if y and whole == person else 0.0, *(buckets(features_of(t, *c, True, model, k)) for k in (True, False))))
+    return rows
+
+
+def fit_round(made: list, found: list[tuple[bool, list[int], list[int]]], first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """One round's weights from the made examples and those found in a part of the corpus; first: the first round's weights."""
+    told, rest = [x for x in found if x[0]], [x for x in found if not x[0]]
+    if first is None:  # without the letters of given names, which would tell the listed from the others
+        return fit([(b, y, 1.0) for y, _, b in made] + [(b, 1.0, 1.0) for _, _, b in told] + [(b, 0.0, UNLABELLED_WEIGHT) for _, _, b in rest])
+    scored = [(a, 1 / (1 + np.exp(-np.clip(first[b].sum(), -30, 30)))) for _, a, b in rest]
+    likely, unlikely = [a for a, p in scored if p >= LIKELY], [a for a, p in scored if p < UNLIKELY]
+    return fit([(a, y, 1.0) for y, a, _ in made] + [(a, 1.0, 1.0) for _, a, _ in told] + [(a, 1.0, 1.0) for a in likely] + [(a, 0.0, 1.0) for a in unlikely])
 
 
 class NameFinder:
@@ -242,7 +279,7 @@ class NameFinder:
 
     def __init__(self, model: NameModel, known: set[str], given: set[str]):
         self.model, self.given = model, given
-        self.plain = lambda w: w not in given and (w in known or w in model.ordinary)
+        self.plain = lambda w: w not in given and (w in known or w in model.words)
 
     def find(self, t: str, cased: bool) -> list[tuple[tuple[int, int], tuple[int, int]]]:
         """(span of the given name, span of the family name), not overlapping, the likeliest first choice."""

@@ -16,8 +16,10 @@ import hmac
 import re
 import secrets
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,10 @@ from linepress.llm.names import NameFinder, NameModel, is_cased, may_hold
 from linepress.session import collect_small, discard, materialise, spread
 
 KINDS = ("email", "phone", "id", "address", "name")
-#: Bound of the corpus sample that the model of names is fitted on, in pairs.
-SAMPLE_PAIRS = 20_000
+#: Fixed value: what the sums of weights over parts count in.
+_UNIT = 1 << 24
+#: Pairs of a part of the corpus that a model of names is fitted on at once, about; every pair is in one part.
+PART_PAIRS = 20_000
 
 # -- wording, by language (fixed values) ------------------------------------------------------------------------------
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Herrn Frau M. Mme Mlle Monsieur Madame Sr Sra Srta Don Doña Dona Hr Fru Frk Dhr Mevr Mevrouw Meneer Me Drs Ing Mej D.ª Dª г-н г-жа д-р проф господин госпожа".split()
@@ -388,24 +392,85 @@ def detect(pairs: DataFrame, known: set[str], given: set[str], model: NameModel
         d = Detector(*lexicon.value)
         for b in batches:
             got = [d.find(t) for t in b["text"]]
-            keep = [bool(g) for g in got]
-            out = b.loc[keep].copy()
-            out["found"] = [[{"kind": k, "part": p, "start": s, "end": e, "surface": t[s:e], "key": entity_key(t[s:e], p)} for s, e, k, p in g] for t, g in zip(out["text"], (g for g in got if g))]
-            yield out
+            keep = [k for k, g in enumerate(got) if g]
+            if keep:  # strings and lists of an empty selection can't be sent back
+                out = b.iloc[keep].reset_index(drop=True)
+                out["found"] = [[{"kind": k, "part": p, "start": s, "end": e, "surface": t[s:e], "key": entity_key(t[s:e], p)} for s, e, k, p in g] for t, g in zip(out["text"], (g for g in got if g))]
+                yield out
 
     return segs.mapInPandas(run, f"row_id {kind}, field STRING, text STRING, found ARRAY<STRUCT<kind: STRING, part: STRING, start: INT, `end`: INT, surface: STRING, key: STRING>>")
 
 
-def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id", sample_pairs: int = SAMPLE_PAIRS) -> NameModel:
-    """The model of names for a corpus, fitted on the sample_pairs pairs of smallest hashed id: the same at every size of cluster."""
-    n = pairs.count()
-    # a share of the hash's range that holds a tenth more pairs than are wanted, so that no more leave the executors
-    most = 2**63 if n <= 1.1 * sample_pairs else int(2**64 * min(1.0, (1.1 * sample_pairs + 100) / n)) - 2**63
-    rows = pairs.select(F.xxhash64(row_id).alias("h"), F.col(source).alias("s"), F.col(target).alias("t")).filter(F.col("h") <= min(most, 2**63 - 1)).filter("s IS NOT NULL OR t IS NOT NULL")
-    rows = rows.orderBy("h", "s", "t").limit(sample_pairs).collect()
+def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str = "source_segment", target: str = "target_segment", row_id: str = "pair_id", part_pairs: int = PART_PAIRS) -> NameModel:
+    """The model of names for a corpus: words counted in all its segments, weights fitted on all its candidates.
+
+    Each part of about part_pairs pairs, by hash, gives weights; those of a feature are averaged by how sure each part is of
+    them, after either round. The sums are of integers: the same at every size of cluster.
+    """
+    spark = pairs.sparkSession
+    rows = pairs.select(row_id, source, target).filter(F.col(row_id).isNotNull())
+    parts = max(1, -(-rows.count() // part_pairs))
+    h, side = F.xxhash64(row_id), lambda k, name: F.struct(F.lit(k).alias("side"), F.col(name).alias("text"))
+    segs = spread(rows).select(F.pmod(F.xxhash64(row_id, source, target), F.lit(parts)).alias("part"), h.alias("h"), F.explode(F.array(side(0, source), side(1, target))).alias("x")).select("part", "h", "x.side", "x.text").filter("text <> ''")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, small = Counter(), Counter()
+        for b in batches:
+            for t in b["text"]:
+                ws = names.words_of(flat(t)[0])
+                seen.update({w.lower() for w in ws})
+                small.update(w for w in ws if w.islower())
+            if len(seen) > names.WORDS_KEPT:
+                yield pd.DataFrame({"word": list(seen), "n": list(seen.values()), "small": [small[w] for w in seen]})
+                seen, small = Counter(), Counter()
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values()), "small": [small[w] for w in seen]})
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"key": [names.word_key(w) for w in b["word"]], "code": [names.word_code(n, s) for n, s in zip(b["n"].tolist(), b["small"].tolist())]})
+
+    counted = segs.select("text").mapInPandas(count, "word STRING, n LONG, small LONG").groupBy("word").agg(F.sum("n").alias("n"), F.sum("small").alias("small"))
+    table = counted.mapInPandas(code, "key LONG, code SHORT").toArrow()
+    model = NameModel(words=names.Words(table["key"].to_numpy(), table["code"].to_numpy()))
     d = Detector(known, given)
-    sample = [flat(x[:5000])[0] for r in rows for x in (r.s, r.t) if x]
-    return names.train(sample, d.known, given, lambda t: [f for f in d.told(t, is_cased(t), set(_TOKEN.findall(t.lower())))])
+    made = names.made_examples(model, names.plain_words(model.words, d.known, given), given)
+    shared = spark.sparkContext.broadcast((known, given, model))
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, given, model = shared.value
+        d = Detector(known, given)
+        plain = names.plain_words(model.words, d.known, given)
+        titled = lambda t: [f for f in d.told(t, is_cased(t), set(_TOKEN.findall(t.lower())))]
+        for b in batches:
+            got = [(p, h, s, k, *x) for p, h, s, t in zip(b["part"], b["h"], b["side"], b["text"]) for k, x in enumerate(names.examples(flat(t)[0], model, plain, given, titled))]
+            if got:
+                yield pd.DataFrame(got, columns=["part", "h", "side", "k", "told", "a", "b"])
+
+    found = materialise(segs.mapInPandas(find, "part LONG, h LONG, side INT, k INT, told BOOLEAN, a ARRAY<INT>, b ARRAY<INT>"), "names-found")
+
+    def averaged(first: np.ndarray | None) -> np.ndarray:
+        sent = spark.sparkContext.broadcast((made, first))
+
+        def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values(["h", "side", "k"], kind="stable")
+            w, sure = names.fit_round(sent.value[0], list(zip(rows["told"], rows["a"], rows["b"])), sent.value[1])
+            at = np.flatnonzero(w)
+            return pd.DataFrame({"bucket": at, "ws": np.rint(w[at] * sure[at] * _UNIT).astype(np.int64), "s": np.rint(sure[at] * _UNIT).astype(np.int64)})
+
+        got = found.groupBy("part").applyInPandas(weigh, "bucket INT, ws LONG, s LONG").groupBy("bucket").agg(F.sum("ws").alias("ws"), F.sum("s").alias("s")).toArrow()
+        out = np.zeros(names.BUCKETS)
+        out[got["bucket"].to_numpy()] = got["ws"].to_numpy() / got["s"].to_numpy()
+        sent.unpersist()
+        return out
+
+    if found.isEmpty():  # no candidate: the sentences alone
+        first = names.fit_round(made, [])[0]
+        weights = names.fit_round(made, [], first)[0]
+    else:
+        weights = averaged(averaged(None))
+    discard(found)
+    return NameModel(weights.astype(np.float32), model.words)
 
 
 def assign_surrogates(entities: DataFrame, secret: str) -> DataFrame:

@@ -331,6 +331,33 @@ def test_accounts_by_checksum():
     assert kinds("card 4111 1111 1111 1111") == ["account"] and kinds("card 4111 1111 1111 1112") == []
 
 
+def test_the_model_of_names_is_of_the_whole_corpus(spark):
+    """Every word counts, however many pairs there are and wherever in a long text it stands."""
+    letters = lambda n: "".join(chr(97 + int(c)) for c in f"{n:05d}")
+    d = spark.range(21_000).select(F.col("id").alias("pair_id"), F.concat(F.lit("Das wort q"), F.translate(F.lpad(F.col("id").cast("string"), 5, "0"), "0123456789", "abcdefghij")).alias("source_segment"), F.lit(None).cast("string").alias("target_segment"))
+    d = d.unionByName(spark.createDataFrame([(21_000, "und dann " * 700 + "zuletzt", None)], d.schema))
+    words = personal.fit_names(d, set(), set()).words
+    assert len(words.keys) == 21_000 + 2 + 3 and words.code("zuletzt") and not words.code("nirgends")
+    assert all(words.code(f"q{letters(n)}") for n in range(21_000)) and "wort" in words and "das" not in words
+
+
+@need_data
+def test_parts_give_one_model(spark, lexicon):
+    """Fitted in eight parts, the model finds what it finds fitted in one, whatever the order of rows."""
+    d = read(spark, "bifixer")
+    a, b = personal.fit_names(d, *lexicon, part_pairs=100), personal.fit_names(d.orderBy(F.desc("pair_id")).repartition(3), *lexicon, part_pairs=100)
+    assert (a.weights == b.weights).all() and (a.words.keys == b.words.keys).all() and (a.words.codes == b.words.codes).all()
+    who = personal.Detector(*lexicon, a)
+    good, bad = HELD_OUT["name"]
+    found = lambda ts: sum("name" in {k for _, _, k, _ in who.find(t)} for t in ts)
+    assert found(good) >= 0.9 * len(good) and found(bad) <= 0.1 * len(bad) + 1
+
+
+def test_batches_without_an_entity(spark):
+    """A batch without an entity gives no row, and no error."""
+    assert personal.detect(pairs(spark, [(1, "plain words", None)]), {"plain", "words"}, set()).count() == 0
+
+
 @need_data
 def test_surrogates(spark, lexicon, detector):
     d = pairs(spark, [(1, "Please ask for Hazel Quillsteadle. Tel. +44 7700 900383", "Signed by Mrs Quillsteadle"), (2, "Please ask for Hazel Pimbeckram.", None), (3, "Спросите: Вера Тихорядкин", "a@b.example and a@b.example")])
