@@ -353,6 +353,17 @@ def test_parts_give_one_model(spark, lexicon):
     assert found(good) >= 0.9 * len(good) and found(bad) <= 0.1 * len(bad) + 1
 
 
+def test_languages_take_the_names_of_the_whole_corpus(spark, tmp_path, monkeypatch):
+    word = F.translate(F.lpad(F.col("id").cast("string"), 5, "0"), "0123456789", "abcdefghij")
+    spark.range(20_500).select(F.col("id").alias("pair_id"), F.lit("d").alias("ds"), F.concat(F.lit("Das wort "), word).alias("source_segment"), F.lit("").alias("target_segment")).write.parquet(f"{tmp_path}/bifixer.parquet")
+    for name in ("datasets", "lang_samples"):
+        spark.range(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(languages, "personal_lexicon", lambda *_: (set(), set()))
+    monkeypatch.setattr(languages, "fit", lambda *_: None)
+    monkeypatch.setattr(languages, "identify", lambda pairs, model, lexicon: lexicon[2])
+    assert len(languages.identified(spark, str(tmp_path)).words.keys) == 20_502
+
+
 def test_batches_without_an_entity(spark):
     """A batch without an entity gives no row, and no error."""
     assert personal.detect(pairs(spark, [(1, "plain words", None)]), {"plain", "words"}, set()).count() == 0
