@@ -34,6 +34,8 @@ KINDS = ("email", "phone", "id", "address", "name")
 _UNIT = 1 << 24
 #: Pairs of a part of the corpus that a model of names is fitted on at once, about; every pair is in one part.
 PART_PAIRS = 20_000
+#: Tasks that the parts are dealt out to, at most.
+MOST_TASKS = 2_000
 
 # -- wording, by language (fixed values) ------------------------------------------------------------------------------
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Herrn Frau M. Mme Mlle Monsieur Madame Sr Sra Srta Don Doña Dona Hr Fru Frk Dhr Mevr Mevrouw Meneer Me Drs Ing Mej D.ª Dª г-н г-жа д-р проф господин госпожа".split()

@@ -167,6 +167,22 @@ def test_short_foreign_clauses(spark, model):
         assert [{x[0] for x in g} for g in who.languages([f"{long[a]} {x}" for x in NO_CLAUSE])] == [{a}] * len(NO_CLAUSE)
 
 
+@need_data
+def test_the_model_of_languages_is_of_the_whole_corpus(spark):
+    """Every segment counts, however many a language has and however long it is, and no order or number of parts does."""
+    samples = read(spark, "lang_samples")
+    texts = [r.text for r in samples.filter("lang = 'en'").orderBy("sample_id").collect()]
+    rows = [(i, "d", f"{texts[i % 50]} {'and so ' * (80 * (i % 7 == 0))}", None) for i in range(600)]
+    table = lambda rows: spark.createDataFrame(rows, "pair_id LONG, ds STRING, source_segment STRING, target_segment STRING")
+    stated = spark.createDataFrame([("d", "en", "de")], "ds STRING, src_lang STRING, tgt_lang STRING")
+    last = {r.pair_id for r in table(rows).orderBy(F.xxhash64("pair_id").desc()).limit(100).collect()}
+    fitted = lambda d, **k: languages.fit(d, stated, samples, **k).scores
+    whole, other = fitted(table(rows)), fitted(table([(i, ds, f"{s} quillwort" if i in last else s, t) for i, ds, s, t in rows]))
+    assert (whole[languages.features("quillwort")] != other[languages.features("quillwort")]).any()
+    a, b = (fitted(table(x).repartition(n), part_pairs=100) for x, n in ((rows, 2), (rows[::-1], 3)))
+    assert (a == b).all()
+
+
 def test_labels(spark):
     d = spark.createDataFrame(list(enumerate(("EN", " deu ", "pt-XA", "da_XB", "und", "xx", "", None, "rus", "-"))), "i INT, x STRING")
     assert [r.got for r in d.select("i", languages.label_of("x").alias("got")).orderBy("i").collect()] == ["en", "de", "pt", "da", None, None, None, None, "ru", None]
