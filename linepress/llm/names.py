@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from math import exp
 
 import numpy as np
 
@@ -56,10 +57,17 @@ _GIVEN_ENDS = ("a e o us an el in on ia ine ette ard ric ert old win is as y ie"
 _PLACES = ("City North Port Bay Museum University Council Bank River Island Valley Institute Group Festival".split(), "Город Река Остров Музей Банк Союз".split())
 
 _WORD = r"[^\W\d_]+(?:['’\-][^\W\d_]+)*"
+_WORDS = re.compile(_WORD)
 _TOKEN = re.compile(rf"(?P<w>{_WORD})(?P<dot>\.)?")
 #: Letters of one script, the apostrophe and the hyphen.
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ'’\-]+|[\u0400-\u052f'’\-]+")
 _INNER_CAPITAL = re.compile(r"(?:[^\W\d_]+['’\-])+[^\W\d_]+$|(?:Mc|Mac|De|Di|Le|La|Van|Fitz)[^\W\d_a-z][a-z]+$")
+#: Letters that _TWO_CAPITALS takes for capitals, any beyond the basic plane, as one set, which is searched faster; two of them.
+_CAPITALS = "".join(map(re.escape, re.findall(r"[^\W\d_a-zß-öø-ÿа-яё]", "".join(map(chr, range(0x10000)))))) + "\U00010000-\U0010ffff"
+_FAR_CAPITALS = re.compile(f"[{_CAPITALS}][^{_CAPITALS}]*+[{_CAPITALS}]")
+_UPPER = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(0x10000)) if c.isupper()) + "]")
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+_NOT_UPPER, _NOT_LOWER = (bytes(set(range(256)) - set(x)) for x in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 _TWO_CAPITALS = re.compile(rf"(?<![\w'’-])[^\W\d_a-zß-öø-ÿа-яё]{_WORD}(?:\.?\s+(?:[^\W\d_]\.\s*|\w{{1,3}}\s+){{0,3}}|,\s?)[^\W\d_a-zß-öø-ÿа-яё]")
 
 
@@ -112,14 +120,21 @@ class NameModel:
 
 def is_cased(t: str) -> bool:
     """Whether capitals tell something in t: it isn't written in capitals, nor every word with one."""
-    upper, small = sum(map(str.isupper, t)), sum(map(str.islower, t))
+    plain = t.encode("utf-8", "surrogatepass")
+    small = len(plain.translate(None, _NOT_LOWER))
+    if t.isascii():
+        upper = len(plain.translate(None, _NOT_UPPER))
+    else:
+        upper = sum(map(str.isupper, t)) if _BEYOND.search(t) else len(_UPPER.findall(t))
+        if upper >= 0.43 * small:  # not all small letters are counted
+            small = sum(map(str.islower, t))
     words = t.split()
-    return upper < 0.43 * small and not (len(words) > 3 and sum(w[0].isupper() for w in words) > 0.8 * len(words))
+    return upper < 0.43 * small and not (len(words) > 3 and upper > 0.8 * len(words) and sum(w[0].isupper() for w in words) > 0.8 * len(words))
 
 
 def may_hold(t: str) -> bool:
     """A cheap test that texts with a candidate pass."""
-    return _TWO_CAPITALS.search(t) is not None or t.islower() or t.isupper()
+    return _FAR_CAPITALS.search(t) is not None and _TWO_CAPITALS.search(t) is not None or t.islower() or t.isupper()
 
 
 def candidates(t: str, cased: bool, ordinary) -> list[tuple[tuple[int, int], tuple[int, int], bool]]:
@@ -127,17 +142,20 @@ def candidates(t: str, cased: bool, ordinary) -> list[tuple[tuple[int, int], tup
     tells words that are no part of one."""
     if cased and not may_hold(t):
         return []
-    out = []
-    tokens = list(_TOKEN.finditer(t))
-    n = len(tokens)
 
-    def full(m: re.Match) -> bool:
-        w = m["w"]
+    def full_word(w: str) -> bool:
         return len(w) > 2 and _LETTERS.fullmatch(w) is not None and (not cased or w[0].isupper() and (w[1:].islower() or w.isupper() or _INNER_CAPITAL.match(w))) and w.lower() not in PARTICLES and not ordinary(w.lower())
 
+    # a run has two such words at least; most texts don't, which is told faster from the words alone
+    if sum(1 for w in _WORDS.findall(t) if (w[0].isupper() or not cased) and full_word(w)) < 2:
+        return []
+    out = []
+    tokens = list(_TOKEN.finditer(t))
+    n = len(tokens)
+    full = lambda m: full_word(m["w"])
     for i in range(n - 1):
         a = tokens[i]
-        if not full(a) or a["dot"] and i + 1 < n and t[a.end() : a.end() + 1] == " " and len(a["w"]) > 3:
+        if cased and not t[a.start()].isupper() or not full(a) or a["dot"] and i + 1 < n and t[a.end() : a.end() + 1] == " " and len(a["w"]) > 3:
             continue
         j, given = i + 1, 1
         last = a
@@ -197,13 +215,15 @@ def fit(rows: list[tuple[list[int], float, float]], seed: int = 3, epochs: int =
     (the sums of squared gradients)."""
     rng = np.random.default_rng(seed)
     w, g2 = np.zeros(BUCKETS), np.full(BUCKETS, 1e-2)
-    xs = [np.unique(x) for x, _, _ in rows]
+    xs = [np.array(sorted(set(x))) for x, _, _ in rows]
     for _ in range(epochs):
-        for i in rng.permutation(len(rows)):
+        for i in rng.permutation(len(rows)).tolist():
             x, (_, y, k) = xs[i], rows[i]
-            g = k * (1 / (1 + np.exp(-np.clip(w[x].sum(), -30, 30))) - y) + 1e-4 * w[x]
-            g2[x] += g * g
-            w[x] -= rate * g / np.sqrt(g2[x])
+            wx, gx = w.take(x), g2.take(x)
+            g = k * (1 / (1 + exp(-max(-30.0, min(30.0, wx.sum())))) - y) + 1e-4 * wx
+            gx += g * g
+            g2[x] = gx
+            w[x] = wx - rate * g / np.sqrt(gx)
     return w, g2
 
 
@@ -221,7 +241,7 @@ def _made(rng: random.Random, cyrillic: bool, given: list[str]) -> tuple[str, st
 
 def words_of(t: str) -> set[str]:
     """The words of a text as the corpus counts them, each once; none where capitals tell nothing."""
-    return set(re.findall(_WORD, t)) if is_cased(t) else set()
+    return set(_WORDS.findall(t)) if is_cased(t) else set()
 
 
 def plain_words(words: Words, known: set[str], given: set[str]):

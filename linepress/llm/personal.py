@@ -65,6 +65,8 @@ STREETS = [
     rf"(?:(?<=lives at )|(?<=wohnhaft )|(?<=domicilié )|(?<=domiciliée )|(?<=domicilio en )|(?<=residente na )|(?<=residente em )|(?<=bor på )|(?<=bor )(?!på )|(?<=woont op )|(?<=woont aan )|(?<=visitors: )|(?<=besucher: )|(?<=accueil : )|(?<=visitas: )|(?<=besøg: )|(?<=besök: )|(?<=bezoekers: )|(?<=приём: ))(?:[\w'’.-]+\s){{1,4}}{_NUM}(?!\w)",
 ]
 _STREET = re.compile("|".join(STREETS), re.I)
+#: Those that need no word of STREET_ENDS before a number; letters that re.I takes for others than lower() does.
+_STREET_WITHOUT_END, _FOLDED_BY_RE = re.compile("|".join(STREETS[:1] + STREETS[4:]), re.I), re.compile("[ſıİ]")
 #: Words and word ends that tell a street; the first find candidates cheaply, STREETS decides.
 STREET_WORDS = frozenset(
     "street st road rd lane avenue ave close court drive terrace crescent row hill gardens mews square rue bd av quai chemin place boulevard impasse allée cours route passage calle c avda avenida plaza paseo camino carrera ronda travesía glorieta rua r travessa largo praça estrada alameda beco улица ул пр проспект переулок пер набережная наб площадь пл шоссе бульвар проезд "
@@ -72,7 +74,8 @@ STREET_WORDS = frozenset(
 )
 STREET_ENDS = ("straße", "strasse", "str", "gasse", "platz", "allee", "ufer", "damm", "stieg", "steig", "chaussee", "winkel", "wall", "kamp", "stiege", "weg", "straat", "gracht", "laan", "plein", "kade", "dijk", "steeg", "singel", "hof", "markt", "vej", "gade", "stræde", "allé", "plads", "vænge", "vænget", "stien", "gatan", "vägen", "gränd", "gränden", "stigen", "stig", "torget", "backen", "väg", "gata", "plan")
 _STREET_PART = re.compile("|".join(sorted(STREET_WORDS | set(STREET_ENDS), key=len, reverse=True)), re.I)
-_BEFORE_NUMBER = re.compile(r"(\w+)[.,]?\s\d")
+_NUMBER = re.compile(r"\s\d")
+_LONGEST_END = max(map(len, STREET_ENDS))
 #: Street words that are also ordinary words where they are written small.
 _COMMON = re.compile(r"largo\b|camino\b|paseo\b|ronda\b|plaza\b|estrada\b|carrera\b|alameda\b|beco\b")
 # -- other forms ------------------------------------------------------------------------------------------------------
@@ -94,10 +97,12 @@ _FIRST = lambda ws: frozenset(re.findall(r"\w+", w)[0] for w in ws)  # noqa: E73
 _ID_FIRST, _TITLE_WORDS = _FIRST(ID_WORDS), _FIRST([t.lower() for t in TITLES])
 #: Words that stand beside contact details.
 _FORM_WORDS = frozenset(x for w in (*PHONE_WORDS, *ID_WORDS) for x in w.split() if len(x) > 2) | STREET_WORDS
-_DIGIT = re.compile(r"\d")
+_DIGIT, _NO_DIGITS = re.compile(r"\d"), bytes(set(range(256)) - set(b"0123456789"))
 _TOKEN = re.compile(r"\w+")
-_ONE_INITIAL = re.compile(r"\b[A-ZÀ-ÞА-ЯЁ]\.")
+_ONE_INITIAL = re.compile(r"[A-ZÀ-ÞА-ЯЁ](?<=\b.)\.")
 _UNEVEN = re.compile(r"[\t\n\r]|  |[\u00a0\u00ad\u0300-\u036f\u1680\u2000-\u200f\u2028-\u202f\u205f-\u206f\u217c\u3000\ufb00-\ufb06\ufeff\uff01-\uff5e]|[A-Za-z][\u0370-\u058f]|[\u0370-\u058f][A-Za-z]|[ɑɡı]")
+#: One character of which any match of _UNEVEN in text beyond ASCII has, or two blanks.
+_ODD = re.compile(r"[\t\n\r\u00a0\u00ad\u0300-\u036f\u1680\u2000-\u200f\u2028-\u202f\u205f-\u206f\u217c\u3000\ufb00-\ufb06\ufeff\uff01-\uff5e\u0370-\u058fɑɡı]")
 _PHONE_BEFORE = re.compile(rf"(?:(?<!\w)(?:{_words(PHONE_WORDS)})\.?\s*:?\s*)$", re.I)
 _PHONE_FORM = re.compile(
     r"(?:\(?\+\d{1,3}\)?(?:[\s.\-]|\s?/\s?)?(?:\(?\d+\)?(?:[\s.\-]|\s?/\s?)?)+|00\d{2,3}[\s\-]\d[\d\s\-]{6,}|00[1-9]\d{8,12}|0[1-9](?:[.\- ]\d\d){4}|0[1-9]\d{0,3}[\s/]\d{3,8}(?:[\s\-]\d{2,4}){0,2}|8[\s\-]?\(\d{3,5}\)\s?\d{1,3}(?:[\s\-]\d\d){2}|\(\d{3}\)\s?\d{3}[\s.\-]\d{4}|1[\s.\-]\d{3}[\s.\-]\d{3}[\s.\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|0\d{1,4}[\s\-]\d{3,4}[\s\-]?\d{2,4}(?:[\s\-]\d{2})?|0\d{4}[\s\-]\d{6}|0\d{2}-\d{7}|\d{2} \d{2} \d{2} \d{2}|[5-9]\d{2} \d{2} \d{2} \d{2}|[5-9]\d{2} \d{3} \d{3})$"
@@ -110,10 +115,18 @@ _PAIR = re.compile(rf"(?P<a>{_NAME_WORD})(?P<sep>\s|,\s?)(?P<b>{_NAME_WORD})")
 PARTICLES = {"de", "da", "do", "dos", "das", "van", "von", "der", "den", "del", "la", "le", "du", "af"}
 
 
+def _is_uneven(text: str) -> bool:
+    if "  " in text:
+        return True
+    if text.isascii():
+        return "\n" in text or "\t" in text or "\r" in text
+    return _ODD.search(text) is not None and _UNEVEN.search(text) is not None
+
+
 def flat(text: str) -> tuple[str, list[int] | None]:
     """text as detection reads it (one blank for any, width and look-alike forms undone, format characters gone) and the
     place of each of its characters in text; None if they are the same."""
-    if not _UNEVEN.search(text):
+    if not _is_uneven(text):
         return text, None
     out, at = [], []
     latin = sum("a" <= c <= "z" for c in text.lower())
@@ -175,6 +188,16 @@ CHECKED = [
 ]
 
 
+def _street_end(t: str) -> bool:
+    """Whether a word with an end that tells a street stands before a number."""
+    for m in _NUMBER.finditer(t):
+        at = m.start()
+        at -= t[at - 1 : at] in (".", ",")
+        if t[max(0, at - _LONGEST_END) : at].lower().endswith(STREET_ENDS):
+            return True
+    return False
+
+
 class Detector:
     """known: words of ordinary language in lower case; given: given names in lower case; model: of other names."""
 
@@ -268,13 +291,14 @@ class Detector:
                 got.append((a, b, kind, part or kind))
 
         tokens = set(_TOKEN.findall(t.lower()))
-        if "@" in t or "%40" in t or "&" in t or not tokens.isdisjoint(("at", "arroba", "собака")):
+        # `at` between blanks counts with `dot` only, else it stands in brackets
+        if "@" in t or "%40" in t or "&#64;" in t or not tokens.isdisjoint(("commat", "arroba", "собака")) or "at" in tokens and ("dot" in tokens or "[" in t or "(" in t or "{" in t):
             for m in _EMAIL.finditer(t):
                 s = m.group()
                 if not _PLAIN_AT.search(s) or _DOT_WORD.search(s):
                     add(m.start(), m.end(), "email")
-        many = _MANY_DIGITS.search(t)
         if _DIGIT.search(t):
+            many = (not t.isascii() or len(t.encode().translate(None, _NO_DIGITS)) > 5) and _MANY_DIGITS.search(t)
             for kind, form, holds in CHECKED if many else ():
                 for m in form.finditer(t):
                     if holds("".join(filter(str.isalnum, m.group()))):
@@ -286,8 +310,9 @@ class Detector:
                     v = v[: stop.start()] if stop else v
                     if sum(c.isdigit() for c in v) >= 5:
                         add(m.start("v"), m.start("v") + len(v), "id")
-            if not tokens.isdisjoint(STREET_WORDS) or any(w.lower().endswith(STREET_ENDS) for w in _BEFORE_NUMBER.findall(t)):
-                for m in _STREET.finditer(t):
+            end = _street_end(t)
+            if end or not tokens.isdisjoint(STREET_WORDS):
+                for m in (_STREET if end or _FOLDED_BY_RE.search(t) else _STREET_WITHOUT_END).finditer(t):
                     if not _COMMON.match(m.group()):
                         add(m.start(), m.end(), "address")
             for m in _CLUSTER.finditer(t) if many else ():
@@ -421,7 +446,7 @@ def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str =
             for t in b["text"]:
                 ws = names.words_of(flat(t)[0])
                 seen.update({w.lower() for w in ws})
-                small.update(w for w in ws if w.islower())
+                small.update([w for w in ws if w.islower()])
             if len(seen) > names.WORDS_KEPT:
                 yield pd.DataFrame({"word": list(seen), "n": list(seen.values()), "small": [small[w] for w in seen]})
                 seen, small = Counter(), Counter()
@@ -460,7 +485,7 @@ def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str =
             at = np.flatnonzero(w)
             return pd.DataFrame({"bucket": at, "ws": np.rint(w[at] * sure[at] * _UNIT).astype(np.int64), "s": np.rint(sure[at] * _UNIT).astype(np.int64)})
 
-        got = found.groupBy("part").applyInPandas(weigh, "bucket INT, ws LONG, s LONG").groupBy("bucket").agg(F.sum("ws").alias("ws"), F.sum("s").alias("s")).toArrow()
+        got = found.repartition(min(parts, MOST_TASKS), "part").groupBy("part").applyInPandas(weigh, "bucket INT, ws LONG, s LONG").groupBy("bucket").agg(F.sum("ws").alias("ws"), F.sum("s").alias("s")).toArrow()
         out = np.zeros(names.BUCKETS)
         out[got["bucket"].to_numpy()] = got["ws"].to_numpy() / got["s"].to_numpy()
         sent.unpersist()

@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from linepress.llm import copies, encodings, languages, lookalikes, mixing, personal, residue, tokens
+from linepress.llm import copies, encodings, languages, lookalikes, mixing, names, personal, residue, tokens
 from linepress.llm import queries as Q
 from tests.compare import DATA, spark_rows, sql_rows
 
@@ -357,6 +357,22 @@ def test_the_model_of_names_is_of_the_whole_corpus(spark):
     assert all(words.code(f"q{letters(n)}") for n in range(21_000)) and "wort" in words and "das" not in words
 
 
+def test_cheap_tests_say_what_the_whole_ones_say():
+    """The short cuts of detection and of the fit of names, on made text, against the plain definitions."""
+    rng, parts = random.Random(4), ["Anna ", "ÉVA ", "der ", "Weg ", "Hauptstraße", "STR. ", " 12", ",", ". ", "  ", "\t", "\u00a0", "Москва ", "лет ", "aМ", "𝐀𝐁 ", "ı", "7", "(at) ", "O'Neil-Roe ", "-", "ǅ", "ß", "e\u0301"]
+
+    def is_cased(t):
+        upper, small, words = sum(map(str.isupper, t)), sum(map(str.islower, t)), t.split()
+        return upper < 0.43 * small and not (len(words) > 3 and sum(w[0].isupper() for w in words) > 0.8 * len(words))
+
+    for _ in range(5000):
+        t = "".join(rng.choices(parts, k=rng.randint(1, 9)))
+        assert names.is_cased(t) == is_cased(t), t
+        assert names.may_hold(t) == (names._TWO_CAPITALS.search(t) is not None or t.islower() or t.isupper()), t
+        assert personal._is_uneven(t) == (personal._UNEVEN.search(t) is not None), t
+        assert personal._street_end(t) == any(w.lower().endswith(personal.STREET_ENDS) for w in re.findall(r"(\w+)[.,]?\s\d", t)), t
+
+
 @need_data
 def test_parts_give_one_model(spark, lexicon):
     """Fitted in eight parts, the model finds what it finds fitted in one, whatever the order of rows."""
