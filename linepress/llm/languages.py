@@ -75,10 +75,17 @@ _SIGN = re.compile(r"(?<![\w/])[A-Z]+(?:/[A-Z\d.]+)*/\d[A-Z\d./]*")
 _PART = re.compile(r"[.!?…;]\s+|,\s|\s[–—/|-]\s|[()\[\]]")
 
 
+def _may_hold_contact(t: str) -> bool:
+    if t.isascii():  # else letters that re.I takes for others may make a hint
+        low = t.lower()
+        return "@" in t or "%40" in t or "#64" in t or ".test" in low or ".invalid" in low or ".example" in low or "at" in low and _CONTACT_HINT.search(t) is not None
+    return _CONTACT_HINT.search(t) is not None
+
+
 def parts_of(text: str) -> list[list[str]]:
     """The words, in lower case, of each sentence or clause; short quoted titles and contact details are left out."""
     t = text if text.isascii() or not _FOLDED.search(text) else text.translate(_FOLD)
-    if _CONTACT_HINT.search(t):
+    if _may_hold_contact(t):
         t = _CONTACT.sub(" ", t)
     if _QUOTE.search(t):
         t = _TITLE.sub(lambda m: " " if len(_WORD.findall(m.group())) <= 3 else m.group(), t)
@@ -334,7 +341,7 @@ class Identifier:
         if new:
             self._learn(set(flat) if len(self.ids) + len(new) > WORDS_KEPT else new)
         get = self.ids
-        idx = np.fromiter((get[w] for w in flat), np.int64, len(flat))
+        idx = np.fromiter(map(get.__getitem__, flat), np.int64, len(flat))
         lens = np.fromiter(map(len, parts), np.int64, len(parts))
         starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
         z = np.add.reduceat(self.sums[idx], starts) / np.add.reduceat(self.counts[idx], starts)[:, None] + self.m.bias
