@@ -19,13 +19,15 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linepress.llm.arrays import characters, kinds, numbered, runs
 from linepress.llm.encodings import MISREAD, SHOWN_AS, _byte_to_char, undo_utf8
 from linepress.llm.lookalikes import mapping
 from linepress.llm.names import NameModel
@@ -47,6 +49,8 @@ MOST_WEIGHT = 4.0
 _UNIT = 1 << 20
 #: Words whose scores a worker remembers; beyond it the memory is emptied (results don't depend on it).
 WORDS_KEPT = 400_000
+#: Texts whose characters are told apart at once (results don't depend on it).
+TEXTS_AT_ONCE = 4_000
 #: Cost, in nats, of changing language between two parts.
 SWITCH_COST = 4.0
 #: Evidence a word gives, as a share of a part's log-probability; words beyond WORDS_COUNTED of a part give none.
@@ -65,6 +69,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _CONTACT = re.compile(r"\S*(?:@|&#64;|%40)\S*|\S+\s+(?:@|at|\[at\]|\(at\))\s+\S+(?:\s+(?:dot|\[dot\]|\(dot\))\s+\S+)+|\S+\.(?:test|invalid|example|com|net|org)\b", re.I)
 _TITLE = re.compile(r"[“„«»‘”\"‹’](?=\w)[^“„«»‘”\"‹›\n]{1,60}?[”“»«’\"›‘]")
 _CONTACT_HINT = re.compile(r"@|%40|#64|\bat\b|\.(?:test|invalid|example)", re.I)
+#: `at` alone, from its letters on, which are searched faster than a border; letters that re.I takes for those of _CONTACT_HINT.
+_AT, _FOLDED_BY_RE = re.compile(r"at\b(?<=\bat)"), re.compile("[ſıİ]")
 _QUOTE = re.compile("[“„«»‘”\"‹’]")
 #: What follows a street address: number of the house, code and name of the place.
 _PLACE = re.compile(r"(?:[,\s]+(?:n\.?\s?[º°]\.?|№|(?=\S*\d)[\w-]+|[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*))*")
@@ -76,20 +82,114 @@ _PART = re.compile(r"[.!?…;]\s+|,\s|\s[–—/|-]\s|[()\[\]]")
 
 
 def _may_hold_contact(t: str) -> bool:
-    if t.isascii():  # else letters that re.I takes for others may make a hint
-        low = t.lower()
-        return "@" in t or "%40" in t or "#64" in t or ".test" in low or ".invalid" in low or ".example" in low or "at" in low and _CONTACT_HINT.search(t) is not None
-    return _CONTACT_HINT.search(t) is not None
+    if not t.isascii() and _FOLDED_BY_RE.search(t):
+        return _CONTACT_HINT.search(t) is not None
+    low = t.lower()
+    return "@" in t or "%40" in t or "#64" in t or ".test" in low or ".invalid" in low or ".example" in low or "at" in low and _AT.search(low) is not None
 
 
-def parts_of(text: str) -> list[list[str]]:
-    """The words, in lower case, of each sentence or clause; short quoted titles and contact details are left out."""
-    t = text if text.isascii() or not _FOLDED.search(text) else text.translate(_FOLD)
+def _bare_of_contacts(text: str) -> str:
+    """text in usual letters, without short quoted titles and contact details."""
+    return _without_contacts(text if text.isascii() or not _FOLDED.search(text) else text.translate(_FOLD))
+
+
+def _without_contacts(t: str) -> str:
     if _may_hold_contact(t):
         t = _CONTACT.sub(" ", t)
-    if _QUOTE.search(t):
+    if '"' in t or not t.isascii() and _QUOTE.search(t):
         t = _TITLE.sub(lambda m: " " if len(_WORD.findall(m.group())) <= 3 else m.group(), t)
-    return [w for p in _PART.split(t) if (w := _WORD.findall(p.lower()))]
+    return t
+
+
+def parts_of(text: str) -> list[list[str]]:
+    """The words, in lower case, of each sentence or clause; short quoted titles and contact details are left out."""
+    return [w for p in _PART.split(_bare_of_contacts(text)) if (w := _WORD.findall(p.lower()))]
+
+
+@dataclass
+class Parts:
+    """parts_of() many texts at once: the words one after another, how many each part has, and how many parts each text has."""
+
+    words: list[str]
+    sizes: np.ndarray
+    counts: np.ndarray
+
+    @property
+    def starts(self) -> np.ndarray:
+        """The first word of each part."""
+        return np.cumsum(self.sizes) - self.sizes
+
+    def of(self, texts: np.ndarray) -> Parts:
+        """Those of the texts that are true in texts."""
+        parts = np.repeat(texts, self.counts)
+        return Parts(list(compress(self.words, np.repeat(parts, self.sizes).tolist())), self.sizes[parts], self.counts[texts])
+
+
+#: Characters as _WORD and _PART tell them apart.
+_KINDS = (r"[^\W\d_]", "['’]", r"\s", "[.!?…;,]", "[–—/|-]", r"[()\[\]]")
+_LETTER, _APOSTROPHE, _BLANK, _STOP, _DASH, _BRACKET = range(1, 7)
+
+
+def all_parts(texts: list[str]) -> Parts:
+    """parts_of() all texts, told by arrays over their characters."""
+    some = [_some_parts(texts[at : at + TEXTS_AT_ONCE]) for at in range(0, max(1, len(texts)), TEXTS_AT_ONCE)]
+    return Parts(list(chain.from_iterable(p.words for p in some)), np.concatenate([p.sizes for p in some]), np.concatenate([p.counts for p in some]))
+
+
+@lru_cache(maxsize=1)
+def _folds() -> np.ndarray:
+    """What _FOLD makes of each code point; of those that it takes out, the first that is none."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    out[list(_FOLD)] = [0x110000 if c is None else ord(c) for c in _FOLD.values()]
+    return out
+
+
+def _folded(texts: list[str]) -> list[str]:
+    """texts as _FOLD makes them."""
+    codes, last = characters(texts)
+    codes = _folds()[codes]
+    codes[last], codes[0] = 10, 10
+    kept = codes != 0x110000
+    ends = np.cumsum(kept)[last] - 1
+    text = codes[kept].tobytes().decode("utf-32-le", "surrogatepass")
+    return [text[a + 1 : b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+
+#: Characters that _bare_of_contacts looks for first, in text beyond ASCII.
+_SPECIAL = (_QUOTE.pattern, _FOLDED_BY_RE.pattern, _FOLDED.pattern)
+
+
+def _some_parts(texts: list[str]) -> Parts:
+    texts = list(texts)
+    beyond = [i for i, t in enumerate(texts) if not t.isascii()]
+    codes, last = characters([texts[i] for i in beyond])
+    found = kinds(codes, _SPECIAL)
+    at = np.flatnonzero(found)
+    special, kind = np.searchsorted(last, at), found[at]
+    fold = np.unique(special[kind == 3]).tolist()
+    for i, t in zip(fold, _folded([texts[beyond[i]] for i in fold])):
+        texts[beyond[i]] = t
+    # what has none of these, nor a contact's letters, stays as it is
+    bare = set(beyond).difference(beyond[i] for i in set(special.tolist()))
+    lower = []
+    for i, t in enumerate(texts):
+        low = t.lower()
+        if i not in bare or "@" in t or "%40" in t or "#64" in t or "at" in low or ".test" in low or ".invalid" in low or ".example" in low:
+            low = _without_contacts(t).lower()
+        lower.append(low)
+    codes, last = characters(lower)
+    kind = kinds(codes, _KINDS)
+    own = kind == _LETTER
+    at = np.flatnonzero(kind == _APOSTROPHE)
+    own[at[own[at - 1] & own[at + 1]]] = True
+    words, first = runs(codes, own)
+    # a part ends where _PART matches between two words
+    ends = np.flatnonzero(kind >= _STOP)
+    blank = kind == _BLANK
+    ends = ends[(kind[ends] == _BRACKET) | blank[ends + 1] & ((kind[ends] == _STOP) | blank[ends - 1])]
+    text = np.searchsorted(last, first)
+    begin = np.flatnonzero(np.diff(np.searchsorted(ends, first) + text, prepend=-1))
+    return Parts(words, np.diff(begin, append=len(words)), np.bincount(text[begin], minlength=len(texts)))
 
 
 def features(word: str) -> list[int]:
@@ -100,6 +200,43 @@ def features(word: str) -> list[int]:
     return [x % BUCKETS for x in out]
 
 
+@lru_cache(maxsize=1)
+def _crc_table() -> np.ndarray:
+    out = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        out = out >> 1 ^ np.where(out & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return out
+
+
+def all_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """features() of all words one after another, and how many each word has."""
+    if not words:
+        return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+    ws = [f"<{w}>".encode() for w in words]
+    data, size, table = np.frombuffer(b"".join(ws), np.uint8), np.fromiter(map(len, ws), np.int64, len(ws)), _crc_table()
+    # the first byte of each character and its word; behind the last character of all comes the end
+    char = np.flatnonzero(data & 0xC0 != 0x80)
+    of = np.repeat(np.arange(len(ws)), size)[char]
+    long = np.bincount(of, minlength=len(ws))
+    start, edge = np.cumsum(long) - long, np.append(char, len(data))
+    many = 1 + sum(np.maximum(long - n + 1, 0) for n in (2, 3, 4, 5))
+    put, own = np.cumsum(many) - many, np.arange(len(char)) - start[of]
+    out = np.empty(many.sum(), np.uint16)
+    out[put] = np.fromiter(map(zlib.crc32, ws), np.uint32, len(ws)) % BUCKETS
+    put = put + 1
+    for n in (2, 3, 4, 5):
+        at = np.flatnonzero(own + n <= long[of])
+        a, b = edge[at], edge[at + n]
+        crc = np.full(len(at), 0xFFFFFFFF, np.uint32)
+        for k in range(int((b - a).max(initial=0))):
+            some = slice(None) if k < n else np.flatnonzero(a + k < b)  # a character has a byte at least
+            c = crc[some]
+            crc[some] = table[(c ^ data[a[some] + k]) & 0xFF] ^ c >> np.uint32(8)
+        out[put[of[at]] + own[at]] = (crc ^ np.uint32(0xFFFFFFFF)) % BUCKETS
+        put = put + np.maximum(long - n + 1, 0)
+    return out, many
+
+
 @dataclass
 class Model:
     """scores: of each bucket for each language (embedding times softmax weights); threshold, short: of the share of the best
@@ -178,34 +315,36 @@ def learn(fit: list[tuple[str, str]], seed: int = 7, epochs: int = 6, rate: floa
     return emb, out, bias
 
 
-def learn_on(start: tuple[np.ndarray, np.ndarray, np.ndarray], segments: list[tuple[int, list[list[str]]]], known: dict[str, list[int]], seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Goes on from start over every word of segments (index of the language, parts) once, all languages alike: the scores of
-    each bucket, the constants, and how many words fall into each bucket. known: features of words."""
+def _sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of rows from each of starts to the next; two columns at once as one complex number."""
+    return np.add.reduceat(rows.view(np.complex64 if rows.dtype == np.float32 else np.complex128), starts).view(rows.dtype)
+
+
+def learn_on(start: tuple[np.ndarray, np.ndarray, np.ndarray], langs: np.ndarray, parts: Parts, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Goes on from start over every word of texts once, all languages alike: the scores of each bucket, the constants, and how
+    many words fall into each bucket. langs: index of the language of each text; parts: of all texts."""
     emb, out, bias = (x.copy() for x in start)
-    ids: dict[str, int] = {}
-    runs, ys = [], []
-    for k, parts in segments:
-        for ws in parts:
-            for at in range(0, len(ws), RUN):
-                runs.append([ids.setdefault(w, len(ids)) for w in ws[at : at + RUN]])
-                ys.append(k)
-    of = [known.get(w) or features(w) for w in ids]
-    many = np.fromiter(map(len, of), np.int64, len(of))
-    first, flat = np.concatenate([[0], np.cumsum(many)]), np.fromiter(chain.from_iterable(of), np.int64, many.sum())
-    sizes, ys = np.fromiter(map(len, runs), np.int64, len(runs)), np.array(ys, np.int64)
+    distinct, said = numbered(parts.words)
+    flat, many = all_features(distinct)
+    first = np.cumsum(many) - many
+    # the runs of each part
+    cut = -(-parts.sizes // RUN)
+    of = np.repeat(np.arange(len(cut)), cut)
+    at = RUN * (np.arange(len(of)) - (np.cumsum(cut) - cut)[of])
+    begins, sizes, ys = parts.starts[of] + at, np.minimum(RUN, parts.sizes[of] - at), np.repeat(langs, parts.counts)[of]
     share = np.bincount(ys, sizes, len(LANGS))
     weight = share.sum() / (np.count_nonzero(share) or 1) / np.maximum(share, 1)
-    order, dims = np.random.default_rng(seed).permutation(len(runs)), np.arange(DIM)
+    order = np.random.default_rng(seed).permutation(len(sizes))
     for at in range(0, len(order), RUNS_AT_ONCE):
         now = order[at : at + RUNS_AT_ONCE]
-        words, place = np.unique(np.fromiter(chain.from_iterable(runs[i] for i in now), np.int64), return_inverse=True)
+        n = sizes[now]
+        begin = np.cumsum(n) - n
+        words, place = np.unique(said[np.repeat(begins[now] - begin, n) + np.arange(n.sum())], return_inverse=True)
         own = many[words]
         starts = np.cumsum(own) - own
         buckets = flat[np.repeat(first[words] - starts, own) + np.arange(own.sum())]
-        n = sizes[now]
-        begin = np.cumsum(n) - n
         lens = np.add.reduceat(own[place], begin)[:, None]
-        h = np.add.reduceat(np.add.reduceat(emb[buckets], starts)[place], begin) / lens
+        h = _sums(_sums(emb.take(buckets, 0), starts).take(place, 0), begin) / lens
         z = h @ out + bias
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
@@ -215,12 +354,14 @@ def learn_on(start: tuple[np.ndarray, np.ndarray, np.ndarray], segments: list[tu
         gh = np.repeat((p @ out.T) / lens, n, axis=0)
         by = np.argsort(place, kind="stable")
         often = np.bincount(place, minlength=len(words))
-        g = np.add.reduceat(gh[by], np.cumsum(often) - often) * np.minimum(1, AT_MOST / often)[:, None]
+        g = _sums(gh.take(by, 0), np.cumsum(often) - often) * np.minimum(1, AT_MOST / often)[:, None]
         out -= (lr * 0.3 * min(1, AT_MOST / len(now)) * (h.T @ p)).astype(np.float32)
         bias -= (lr * 0.1 * p.mean(0)).astype(np.float32)
-        np.add.at(emb.reshape(-1), (buckets[:, None] * DIM + dims).reshape(-1), np.repeat((-lr * 4 * g).astype(np.float32), own, axis=0).reshape(-1))
-    said = np.bincount(np.fromiter(chain.from_iterable(runs), np.int64), minlength=len(ids))
-    return emb @ out, bias, np.bincount(flat, np.repeat(said, many), BUCKETS).astype(np.int64)
+        # the steps of a bucket are added up first, which takes a tenth of the time of adding each by itself
+        steps, buckets = -lr * 4 * g, buckets.astype(np.int64)
+        for k in range(DIM):
+            emb[:, k] += np.bincount(buckets, np.repeat(steps[:, k], own), BUCKETS)
+    return emb @ out, bias, np.bincount(flat, np.repeat(np.bincount(said, minlength=len(distinct)), many), BUCKETS).astype(np.int64)
 
 
 def train(samples: list[tuple[str, str]], seed: int = 7, epochs: int = 6, rate: float = 0.6) -> Model:
@@ -313,10 +454,8 @@ class Identifier:
         self.ids: dict[str, int] = {}
         self.sums = np.zeros((1024, len(LANGS)), np.float32)
         self.counts = np.zeros(1024, np.float32)
-        #: Features of the words met, where they are asked for.
-        self.features: dict[str, list[int]] | None = None
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         if len(self.ids) + len(words) > WORDS_KEPT:
             self.ids.clear()
         need = len(self.ids) + len(words)
@@ -324,26 +463,25 @@ class Identifier:
             size = max(need, 2 * len(self.counts))
             self.sums = np.resize(self.sums, (size, len(LANGS)))
             self.counts = np.resize(self.counts, size)
-        for w in words:
-            f = features(w)
-            i = self.ids[w] = len(self.ids)
-            if self.features is not None:
-                self.features[w] = f
-            self.sums[i] = self.m.scores[f].sum(0)
-            self.counts[i] = len(f)
+        flat, many = all_features(words)
+        at = slice(len(self.ids), need)
+        self.sums[at] = np.add.reduceat(self.m.scores[flat], np.cumsum(many) - many)
+        self.counts[at] = many
+        self.ids.update(zip(words, range(len(self.ids), need)))
 
     def score(self, parts: list[list[str]]) -> np.ndarray:
         """Log-probabilities of each part (of at least one word)."""
-        flat = [w for p in parts for w in p]
+        return self._scores([w for p in parts for w in p], np.fromiter(map(len, parts), np.int64, len(parts)))
+
+    def _scores(self, flat: list[str], lens: np.ndarray) -> np.ndarray:
+        """score() of parts that come as all their words and how many each has."""
         if not flat:
             return np.zeros((0, len(LANGS)), np.float32)
         new = set(flat).difference(self.ids)
         if new:
-            self._learn(set(flat) if len(self.ids) + len(new) > WORDS_KEPT else new)
-        get = self.ids
-        idx = np.fromiter(map(get.__getitem__, flat), np.int64, len(flat))
-        lens = np.fromiter(map(len, parts), np.int64, len(parts))
-        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+            self._learn(list(set(flat) if len(self.ids) + len(new) > WORDS_KEPT else new))
+        idx = np.fromiter(map(self.ids.__getitem__, flat), np.int64, len(flat))
+        starts = np.cumsum(lens) - lens
         z = np.add.reduceat(self.sums[idx], starts) / np.add.reduceat(self.counts[idx], starts)[:, None] + self.m.bias
         z = z * self.m.temperature
         z = z - z.max(1, keepdims=True)
@@ -371,20 +509,21 @@ class Identifier:
             out.append((k, _log_odds(got[k][0], k), int(got[k][1])))
         return out
 
-    def languages(self, texts: list[str], parts: list[list[list[str]]] | None = None) -> list[list[tuple[str, float, int]]]:
+    def languages(self, texts: list[str], parts: Parts | None = None) -> list[list[tuple[str, float, int]]]:
         """For each text its (language, confidence, words), in order of first occurrence; und where there is none to name. parts:
-        those of each text, if they are known."""
-        parts = [parts_of(t) for t in texts] if parts is None else parts
+        those of all texts, if they are known."""
         out: list[list[tuple[str, float, int]]] = [[(UNDETERMINED, 1.0, 0)] for _ in texts]
-        some = [i for i, ps in enumerate(parts) if ps]
-        if not some:
+        if not texts:
+            return out
+        parts = all_parts(texts) if parts is None else parts
+        some = np.flatnonzero(parts.counts)
+        if not len(some):
             return out
-        lp = self.score([p for ps in parts for p in ps])
-        sizes = np.fromiter((len(p) for ps in parts for p in ps), np.int64)
+        sizes, counts = parts.sizes, parts.counts[some]
+        lp = self._scores(parts.words, sizes)
         e = lp * (np.minimum(sizes, WORDS_COUNTED)[:, None] * EVIDENCE_PER_WORD)  # what each part says, in nats
         top = lp.argmax(1)
-        counts = np.fromiter((len(parts[i]) for i in some), np.int64, len(some))
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        starts = np.cumsum(counts) - counts
         # texts whose parts agree, or so nearly that a change of language costs more than it could give, all at once
         z = np.add.reduceat(e, starts)
         q = np.exp(z - z.max(1, keepdims=True))
@@ -397,13 +536,25 @@ class Identifier:
         a, b, c = self.m.odds
         logit = a * (np.log(np.maximum(best, 1e-30)) - np.log(np.maximum(q.sum(1), 1e-30))) + b * np.log(words) + c
         confidence = (1 / (1 + np.exp(-np.clip(logit, -30, 30)))).tolist()
-        for i, k, at, n, share, conf, one, w in zip(some, first.tolist(), starts.tolist(), counts.tolist(), sure, confidence, same.tolist(), words.tolist()):
+        several: dict[int, str] = {}
+        for i, k, at, n, share, conf, one, w in zip(some.tolist(), first.tolist(), starts.tolist(), counts.tolist(), sure, confidence, same.tolist(), words.tolist()):
             if not one:
-                out[i] = self._decide(texts[i], sizes[at : at + n].tolist(), e[at : at + n])
+                got = self._groups(sizes[at : at + n].tolist(), e[at : at + n])
+                if len(got) > 1:
+                    several[i] = self._bare(texts[i])
+                else:
+                    out[i] = self._verdict(got)
             elif share >= self.m.threshold and w >= 2:
                 out[i] = [(LANGS[k], conf, w)]
             else:
                 out[i] = [(UNDETERMINED, 1 - conf, w)]
+        # those in several languages again without what is in none, all at once
+        if several:
+            parts = all_parts(list(several.values()))
+            e = self._scores(parts.words, parts.sizes) * (np.minimum(parts.sizes, WORDS_COUNTED)[:, None] * EVIDENCE_PER_WORD)
+            ends = np.cumsum(parts.counts)
+            for i, at, end in zip(several, (ends - parts.counts).tolist(), ends.tolist()):
+                out[i] = self._verdict(self._groups(parts.sizes[at:end].tolist(), e[at:end])) if end > at else [(UNDETERMINED, 1.0, 0)]
         return out
 
     def _bare(self, text: str) -> str:
@@ -420,16 +571,6 @@ class Identifier:
         own = [c.replace(_MARK, " ") for c in clauses if _MARK not in c or len(_WORD.findall(c)) > WORDS_AROUND]
         return _SIGN.sub(" ", ". ".join(own))
 
-    def _decide(self, text: str, sizes: list[int], e: np.ndarray) -> list[tuple[str, float, int]]:
-        """Languages of a text whose parts differ; e: what each part says, in nats."""
-        got = self._groups(sizes, e)
-        if len(got) > 1:
-            parts = parts_of(self._bare(text))
-            if not parts:
-                return [(UNDETERMINED, 1.0, 0)]
-            got = self._groups([len(p) for p in parts], self._evidence(parts))
-        return self._verdict(got)
-
     def _groups(self, sizes: list[int], e: np.ndarray) -> dict[int, tuple[np.ndarray, int, int]]:
         """What all parts of a language say, their words and those of the longest, for each language of a text."""
         # the likeliest sequence of languages, given what a change costs
@@ -503,15 +644,14 @@ def fit(pairs: DataFrame, datasets: DataFrame, samples: DataFrame, part_pairs: i
     def go_on(rows: pd.DataFrame) -> pd.DataFrame:
         start, first, unseen = shared.value
         rows = rows.sort_values(["h", "side", "text", "lang"], kind="stable")
-        judge, texts = Identifier(first), rows["text"].tolist()
-        judge.features = {}
-        parts = [parts_of(t) for t in texts]
-        said = judge.languages(texts, parts)
-        own = [(LANGS.index(a), ps) for a, t, ps, ls in zip(rows["lang"], texts, parts, said) if len(ls) == 1 and ls[0][0] == a and t not in unseen]
-        scores, bias, n = learn_on(start, own, judge.features)
+        langs, texts = rows["lang"].tolist(), rows["text"].tolist()
+        parts = all_parts(texts)
+        said = Identifier(first).languages(texts, parts)
+        own = np.array([len(ls) == 1 and ls[0][0] == a and t not in unseen for a, t, ls in zip(langs, texts, said)])
+        scores, bias, n = learn_on(start, np.array([LANGS.index(a) for a in langs])[own], parts.of(own))
         at = np.flatnonzero(n)
         # the constants stand behind the buckets
-        scores, at, n = np.vstack([scores[at], bias[None]]), np.append(at, BUCKETS), np.append(n[at], len(own))
+        scores, at, n = np.vstack([scores[at], bias[None]]), np.append(at, BUCKETS), np.append(n[at], own.sum())
         return pd.DataFrame({"bucket": at, "n": n, **{a: np.rint(scores[:, i].astype(np.float64) * n * _UNIT).astype(np.int64) for i, a in enumerate(LANGS)}})
 
     got = rows.repartition(min(parts, MOST_TASKS), "part").groupBy("part").applyInPandas(go_on, "bucket INT, n LONG, " + ", ".join(f"{a} LONG" for a in LANGS))

@@ -20,6 +20,8 @@ from math import exp
 
 import numpy as np
 
+from linepress.llm.arrays import characters, kinds, numbered, runs
+
 BUCKETS = 1 << 15
 #: Words whose codes a worker remembers; beyond it the memory is emptied (results don't depend on it).
 WORDS_KEPT = 200_000
@@ -58,6 +60,12 @@ _PLACES = ("City North Port Bay Museum University Council Bank River Island Vall
 
 _WORD = r"[^\W\d_]+(?:['’\-][^\W\d_]+)*"
 _WORDS = re.compile(_WORD)
+#: Characters as _WORD and what may stand between the words of a name tell them apart.
+_KINDS = (r"[^\W\d_]", r"['’\-]", r"[ \n,.]")
+_LETTER, _JOINT, _GAP = range(1, 4)
+#: Characters as is_cased tells them apart.
+_CASES = (str.isspace, str.isupper, str.islower)
+_BLANK, _CAPITAL, _SMALL = range(1, 4)
 _TOKEN = re.compile(rf"(?P<w>{_WORD})(?P<dot>\.)?")
 #: Letters of one script, the apostrophe and the hyphen.
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ'’\-]+|[\u0400-\u052f'’\-]+")
@@ -128,8 +136,10 @@ def is_cased(t: str) -> bool:
         upper = sum(map(str.isupper, t)) if _BEYOND.search(t) else len(_UPPER.findall(t))
         if upper >= 0.43 * small:  # not all small letters are counted
             small = sum(map(str.islower, t))
+    if upper >= 0.43 * small:
+        return False
     words = t.split()
-    return upper < 0.43 * small and not (len(words) > 3 and upper > 0.8 * len(words) and sum(w[0].isupper() for w in words) > 0.8 * len(words))
+    return not (len(words) > 3 and upper > 0.8 * len(words) and sum(w[0].isupper() for w in words) > 0.8 * len(words))
 
 
 def may_hold(t: str) -> bool:
@@ -137,22 +147,50 @@ def may_hold(t: str) -> bool:
     return _FAR_CAPITALS.search(t) is not None and _TWO_CAPITALS.search(t) is not None or t.islower() or t.isupper()
 
 
+def full_word(w: str, cased: bool, ordinary) -> bool:
+    """Whether w could be one of the words of a name that are no particle."""
+    return len(w) > 2 and _LETTERS.fullmatch(w) is not None and (not cased or w[0].isupper() and (w[1:].islower() or w.isupper() or _INNER_CAPITAL.match(w) is not None)) and w.lower() not in PARTICLES and not ordinary(w.lower())
+
+
+class FullWords:
+    """full_word() of many texts at once; remembers the words met (results don't depend on it)."""
+
+    def __init__(self, ordinary):
+        self.ordinary, self.kept = ordinary, {}
+
+    def _kind(self, w: str) -> int:
+        """1: full in text where capitals tell nothing; 2: in other text; 4: may stand between two words of a name."""
+        return full_word(w, False, self.ordinary) + 2 * (w[0].isupper() and full_word(w, True, self.ordinary)) + 4 * (len(w) == 1 or w.lower() in PARTICLES)
+
+    def near_in(self, ts: Texts) -> np.ndarray:
+        """Whether each of the texts has two such words with nothing but blanks, commas, full stops, initials and particles between
+        them, as any with a candidate has."""
+        if len(self.kept) > WORDS_KEPT:
+            self.kept.clear()
+        for w in ts.distinct:
+            if w not in self.kept:
+                self.kept[w] = self._kind(w)
+        kind = np.fromiter(map(self.kept.__getitem__, ts.distinct), np.uint8, len(ts.distinct))[ts.number]
+        at = np.flatnonzero(kind < 4)
+        full, text = kind[at] & np.where(ts.cased, 2, 1)[ts.text[at]] > 0, ts.text[at]
+        near = full[1:] & full[:-1] & (text[1:] == text[:-1])
+        near[near] = ts.marks[at[1:][near]] == ts.marks[at[:-1][near]]
+        return np.bincount(text[1:][near], minlength=len(ts.texts)) > 0
+
+
 def candidates(t: str, cased: bool, ordinary) -> list[tuple[tuple[int, int], tuple[int, int], bool]]:
     """(span of the first word, span of the last, family first?) of the runs of words in t that could be a name; ordinary(word)
     tells words that are no part of one."""
     if cased and not may_hold(t):
         return []
 
-    def full_word(w: str) -> bool:
-        return len(w) > 2 and _LETTERS.fullmatch(w) is not None and (not cased or w[0].isupper() and (w[1:].islower() or w.isupper() or _INNER_CAPITAL.match(w))) and w.lower() not in PARTICLES and not ordinary(w.lower())
-
     # a run has two such words at least; most texts don't, which is told faster from the words alone
-    if sum(1 for w in _WORDS.findall(t) if (w[0].isupper() or not cased) and full_word(w)) < 2:
+    if sum(1 for w in _WORDS.findall(t) if (w[0].isupper() or not cased) and full_word(w, cased, ordinary)) < 2:
         return []
     out = []
     tokens = list(_TOKEN.finditer(t))
     n = len(tokens)
-    full = lambda m: full_word(m["w"])
+    full = lambda m: full_word(m["w"], cased, ordinary)
     for i in range(n - 1):
         a = tokens[i]
         if cased and not t[a.start()].isupper() or not full(a) or a["dot"] and i + 1 < n and t[a.end() : a.end() + 1] == " " and len(a["w"]) > 3:
@@ -239,6 +277,55 @@ def _made(rng: random.Random, cyrillic: bool, given: list[str]) -> tuple[str, st
     return person, thing
 
 
+class Texts:
+    """Many texts at once: their words as _WORDS.findall() finds them, one after another, as distinct ones and the number of each
+    among them; the text of each word; whether is_cased() each text."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        self.codes, self.last = characters(texts)
+        self.kind = kinds(self.codes, _KINDS)
+        own = self.kind == _LETTER
+        at = np.flatnonzero(self.kind == _JOINT)
+        own[at[own[at - 1] & own[at + 1]]] = True
+        words, first = runs(self.codes, own)
+        self.distinct, self.number = numbered(words)
+        self.text = np.searchsorted(self.last, first)
+        #: Marks, digits and the like before each word, counted from the first text on; full stops, commas and blanks are none.
+        self.marks = np.searchsorted(np.flatnonzero((self.kind != _GAP) & ~own), first)
+        case = kinds(self.codes, _CASES)
+        first = (case != _BLANK) & (np.roll(case, 1) == _BLANK)
+        # a text and the line end before it
+        begin = np.append(0, self.last)[:-1] if texts else self.last
+        upper, small, n = (np.add.reduceat(x.view(np.uint8), begin, dtype=np.int64) for x in (case == _CAPITAL, case == _SMALL, first))
+        self.cased = upper < 0.43 * small
+        for i in np.flatnonzero(self.cased & (n > 3) & (upper > 0.8 * n)).tolist():
+            self.cased[i] = is_cased(texts[i])
+
+
+def _texts_of(number: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """number, from 0 to n, and text without those that come again, by number, and how many are left of each number."""
+    by = np.argsort(number.astype(np.uint16) if n < 1 << 16 else number, kind="stable")  # small integers are sorted faster
+    number, text = number[by], text[by]
+    new = (np.diff(number, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0)
+    return number[new], text[new], np.bincount(number[new], minlength=n)
+
+
+def count_words(texts: list[str]) -> tuple[list[str], list[int], list[int]]:
+    """The words in lower case, in how many texts each occurs, and in how many of them in lower case; words as in words_of."""
+    ts = Texts(texts)
+    cased = ts.cased[ts.text]
+    # texts come in order, so that the numbers of a text are together after a stable sort
+    number, text, times = _texts_of(ts.number[cased], ts.text[cased], len(ts.distinct))
+    lower, low = numbered([w.lower() for w in ts.distinct])
+    by = np.argsort(text, kind="stable")
+    n = _texts_of(low[number][by], text[by], len(lower))[2]
+    # a word that is small is its own lower case
+    small = {w: k for w, k in zip(ts.distinct, times.tolist()) if w.islower()}
+    met = [(w, k, small.get(w, 0)) for w, k in zip(lower, n.tolist()) if k]
+    return [w for w, _, _ in met], [k for _, k, _ in met], [k for _, _, k in met]
+
+
 def words_of(t: str) -> set[str]:
     """The words of a text as the corpus counts them, each once; none where capitals tell nothing."""
     return set(_WORDS.findall(t)) if is_cased(t) else set()
@@ -265,6 +352,11 @@ def examples(t: str, model: NameModel, plain, given: set[str], titled) -> list[t
     ]
 
 
+def all_examples(texts: list[str], model: NameModel, full: FullWords, given: set[str], titled) -> list[list[tuple[bool, list[int], list[int]]]]:
+    """examples() of all texts; full: of the test of plain words."""
+    return [examples(t, model, full.ordinary, given, titled) if m else [] for t, m in zip(texts, full.near_in(Texts(texts)).tolist())]
+
+
 def made_examples(model: NameModel, plain, given: set[str], seed: int = 3) -> list[tuple[float, list[int], list[int]]]:
     """(label, buckets, buckets without the letters of the given name) of the candidates in the labelled sentences."""
     rng = random.Random(seed)
@@ -295,11 +387,12 @@ def fit_round(made: list, found: list[tuple[bool, list[int], list[int]]], first:
 
 
 class NameFinder:
-    """Finds names by a model; remembers nothing between texts."""
+    """Finds names by a model; what it remembers between texts changes no result."""
 
     def __init__(self, model: NameModel, known: set[str], given: set[str]):
         self.model, self.given = model, given
         self.plain = lambda w: w not in given and (w in known or w in model.words)
+        self.full = FullWords(self.plain)
 
     def find(self, t: str, cased: bool) -> list[tuple[tuple[int, int], tuple[int, int]]]:
         """(span of the given name, span of the family name), not overlapping, the likeliest first choice."""

@@ -443,10 +443,9 @@ def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str =
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, small = Counter(), Counter()
         for b in batches:
-            for t in b["text"]:
-                ws = names.words_of(flat(t)[0])
-                seen.update({w.lower() for w in ws})
-                small.update([w for w in ws if w.islower()])
+            words, n, low = names.count_words([flat(t)[0] for t in b["text"]])
+            seen.update(dict(zip(words, n)))
+            small.update(dict(zip(words, low)))
             if len(seen) > names.WORDS_KEPT:
                 yield pd.DataFrame({"word": list(seen), "n": list(seen.values()), "small": [small[w] for w in seen]})
                 seen, small = Counter(), Counter()
@@ -467,10 +466,10 @@ def fit_names(pairs: DataFrame, known: set[str], given: set[str], source: str =
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, given, model = shared.value
         d = Detector(known, given)
-        plain = names.plain_words(model.words, d.known, given)
+        full = names.FullWords(names.plain_words(model.words, d.known, given))
         titled = lambda t: [f for f in d.told(t, is_cased(t), set(_TOKEN.findall(t.lower())))]
         for b in batches:
-            got = [(p, h, s, k, *x) for p, h, s, t in zip(b["part"], b["h"], b["side"], b["text"]) for k, x in enumerate(names.examples(flat(t)[0], model, plain, given, titled))]
+            got = [(p, h, s, k, *x) for p, h, s, xs in zip(b["part"], b["h"], b["side"], names.all_examples([flat(t)[0] for t in b["text"]], model, full, given, titled)) for k, x in enumerate(xs)]
             if got:
                 yield pd.DataFrame(got, columns=["part", "h", "side", "k", "told", "a", "b"])
 

@@ -2,9 +2,10 @@ import os
 import random
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,29 @@ def test_the_model_of_languages_is_of_the_whole_corpus(spark):
     assert (a == b).all()
 
 
+ODD_PIECES = [*"aZé'’ \t\n-–—/|.,;!?…()[]_1²İßΣςжЁ\u0301ꟷ½日ⅧⒶ\x1c", "\U00020001", "\U0001d49c", "L'eau ", "ΑΣ", " at x.test ", "“ab”", "Anna ", "Karl ", "de ", "J. ", "ABEL "]
+
+
+def odd_texts(n: int) -> list[str]:
+    rng = random.Random(n)
+    return ["", *("".join(rng.choices(ODD_PIECES, k=rng.randint(0, 12))) for _ in range(n))]
+
+
+def test_parts_and_features_of_many_texts():
+    """What arrays tell of many texts at once is what the definitions say of each, across the texts taken at once too."""
+    texts = odd_texts(2 * languages.TEXTS_AT_ONCE + 9)
+    for ts in (texts, [], ["", "1"]):
+        p, got, at = languages.all_parts(ts), [], 0
+        for n in p.sizes.tolist():
+            got.append(p.words[at : at + n])
+            at += n
+        ends = np.cumsum(p.counts).tolist()
+        assert [got[a:b] for a, b in zip([0, *ends], ends)] == [languages.parts_of(t) for t in ts]
+    words = sorted({w for t in texts for ws in languages.parts_of(t) for w in ws})
+    flat, many = languages.all_features(words)
+    assert flat.tolist() == [x for w in words for x in languages.features(w)] and many.tolist() == [len(languages.features(w)) for w in words]
+
+
 def test_labels(spark):
     d = spark.createDataFrame(list(enumerate(("EN", " deu ", "pt-XA", "da_XB", "und", "xx", "", None, "rus", "-"))), "i INT, x STRING")
     assert [r.got for r in d.select("i", languages.label_of("x").alias("got")).orderBy("i").collect()] == ["en", "de", "pt", "da", None, None, None, None, "ru", None]
@@ -373,6 +397,23 @@ def test_cheap_tests_say_what_the_whole_ones_say():
         assert personal._street_end(t) == any(w.lower().endswith(personal.STREET_ENDS) for w in re.findall(r"(\w+)[.,]?\s\d", t)), t
 
 
+def test_words_and_candidates_of_many_texts():
+    """Words are counted, and texts with a candidate told, as the definitions say, for many texts at once."""
+    plain = lambda w: w in {"ab", "abel", "de"}
+    for texts in (odd_texts(9_000), [], [""]):
+        texts += [t.lower() for t in texts[:2_000]] + [t.upper() for t in texts[:2_000]]
+        n, small = Counter(), Counter()
+        for t in texts:
+            n.update({w.lower() for w in names.words_of(t)})
+            small.update({w for w in names.words_of(t) if w.islower()})
+        assert {w: (a, b) for w, a, b in zip(*names.count_words(texts))} == {w: (n[w], small[w]) for w in n}
+        ts = names.Texts(texts)
+        assert ts.cased.tolist() == [names.is_cased(t) for t in texts]
+        near = names.FullWords(plain).near_in(ts).tolist()
+        assert all(m or not names.candidates(t, names.is_cased(t), plain) for t, m in zip(texts, near))
+        assert not texts or sum(near) < len(texts) / 2
+
+
 @need_data
 def test_parts_give_one_model(spark, lexicon):
     """Fitted in eight parts, the model finds what it finds fitted in one, whatever the order of rows."""
