@@ -247,9 +247,9 @@ class Detector:
                 if m["f"].lower() not in self.known and m["f"][1:].islower():
                     yield None, m.span("f")
 
-    def names(self, t: str, tokens: set[str]) -> Iterator[tuple[int, int, str]]:
-        """Spans of given and family names; tokens: the words of t in lower case."""
-        listed, may = not tokens.isdisjoint(self.given), may_hold(t)
+    def names(self, t: str, tokens: set[str], near: bool = True) -> Iterator[tuple[int, int, str]]:
+        """Spans of given and family names; tokens: the words of t in lower case; near: see find_in."""
+        listed, may = not tokens.isdisjoint(self.given), near and may_hold(t)
         if not (may or listed or not tokens.isdisjoint(_TITLE_WORDS) or _ONE_INITIAL.search(t)):
             return
         cased = is_cased(t)
@@ -280,7 +280,15 @@ class Detector:
 
     def find(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, part) of the entities, in order, not overlapping; part tells given from family names."""
-        t, at = flat(text)
+        return self.find_in(*flat(text))
+
+    def find_all(self, texts: list[str]) -> list[list[tuple[int, int, str, str]]]:
+        """find() in all texts."""
+        ts = [flat(t) for t in texts]
+        return [self.find_in(*t, near) for t, near in zip(ts, self.finder.full.near_in(names.Texts([t for t, _ in ts])).tolist())]
+
+    def find_in(self, t: str, at: list[int] | None, near: bool = True) -> list[tuple[int, int, str, str]]:
+        """find() in a text as flat() gives it; near: whether a name that only the model tells may be in it (FullWords.near_in)."""
         got: list[tuple[int, int, str, str]] = []
 
         def free(a: int, b: int) -> bool:
@@ -322,7 +330,7 @@ class Detector:
                 before, after = t[max(0, m.start() - 30) : m.start()], t[m.end() : m.end() + 12]
                 if _PHONE_BEFORE.search(before) or _PHONE_FORM.match(s) and not s.endswith("000 000") and not (before[-1:].isalnum() or before.endswith(("€", "$", "£")) or after.startswith(("/", "€", "%")) or re.match(r"[-–]\w|\s?[€$£%]", after)):
                     add(m.start(), m.end(), "phone")
-        for a, b, part in self.names(t, tokens):
+        for a, b, part in self.names(t, tokens, near):
             add(a, b, "name", part)
         got.sort()
         if at is None:
@@ -418,7 +426,7 @@ def detect(pairs: DataFrame, known: set[str], given: set[str], model: NameModel
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = Detector(*lexicon.value)
         for b in batches:
-            got = [d.find(t) for t in b["text"]]
+            got = d.find_all(b["text"].tolist())
             keep = [k for k, g in enumerate(got) if g]
             if keep:  # strings and lists of an empty selection can't be sent back
                 out = b.iloc[keep].reset_index(drop=True)

@@ -437,6 +437,14 @@ def test_languages_take_the_names_of_the_whole_corpus(spark, tmp_path, monkeypat
     assert len(languages.identified(spark, str(tmp_path)).words.keys) == 20_502
 
 
+@need_data
+def test_many_texts_at_once_give_what_each_gives(lexicon, detector):
+    texts = odd_texts(2_000) + [t for good, bad in HELD_OUT.values() for x in (*good, *bad) for t in (x, x.lower(), x.upper())]
+    assert detector.find_all(texts) == [detector.find(t) for t in texts] and detector.find_all([]) == []
+    near = detector.finder.full.near_in(names.Texts([personal.flat(t)[0] for t in texts]))
+    assert 0 < near.sum() < len(texts)
+
+
 def test_batches_without_an_entity(spark):
     """A batch without an entity gives no row, and no error."""
     assert personal.detect(pairs(spark, [(1, "plain words", None)]), {"plain", "words"}, set()).count() == 0
